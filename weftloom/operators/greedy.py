@@ -41,7 +41,7 @@ def _in_order(edges: pa.Table) -> pa.Table:
 
 
 def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int = FINISH_EDGES) -> DataFrame:
-    """State of every image that occurs in ``edges`` (``keyword, a, b`` with ``a < b``).
+    """State of every image that occurs in ``edges`` (``keyword, a, b`` with ``a < b``), a materialized table.
 
     ``waiting`` lists images that may still have earlier look-alikes which are not among the edges:
     these can be removed but not kept, and end as ``unknown`` together with whatever depends on
@@ -58,7 +58,7 @@ def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int
         for side in ("a", "b"):
             mark = waiting.select("keyword", F.col("image_id").alias(side), F.lit(True).alias(f"{side}_waits"))
             live = live.join(mark, ["keyword", side], "left").fillna(False, [f"{side}_waits"])
-    live = materialize(live)
+        live = materialize(live)
     states = []
     while live.count() > finish_edges:
         heads = live.select("keyword", F.col("a").alias("image_id"), F.col("a_waits").alias("waits"))
@@ -184,10 +184,10 @@ def first_wins(
         active = materialize(open_rows.join(peeled, KEY, "left_anti"))
         cell_rows *= 2
 
-    decided = materialize(decided)
     if direct_edges is not None:
         candidates = direct_edges.join(decided.where("kept").select("keyword", F.col("image_id").alias("a")), ["keyword", "a"], "left_semi")
     else:
+        decided = materialize(decided)
         side = lambda keep: assigned.join(decided.where(F.col("kept") == keep).select(*KEY), KEY, "left_semi")
         candidates = index.match(home_rows(side(True), feature), probe_rows(side(False), feature), nearest_only=True)
     removers = candidates.groupBy("keyword", F.col("b").alias("image_id")).agg(F.min("a").alias("removed_by"))
