@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def three_decimals(scores: pd.Series) -> pd.Series:
     """Decimal text of the exact binary value; the JVM's ``%.3f`` rounds its shortest text instead."""
     return scores.map(lambda s: None if pd.isna(s) else f"{s:.3f}")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftloom.functions.text import suffix
 from weftloom.operators.ordering import number_rows
 from weftloom.params import IMAGE_SUFFIXES
-from weftloom.session import materialize
+from weftloom.session import broadcast_if_small, materialize
 from weftloom.sources.sinks import overwrite_partitions
 
 LEDGER_SCHEMA = "keyword string, filename string, batch_id int, committed_at timestamp"
@@ -48,10 +49,11 @@ def write_batches(assigned: DataFrame, images: DataFrame, target: str) -> None:
 
 def verified_batches(assigned: DataFrame, stored: DataFrame) -> DataFrame:
     """Batches whose expected names are all in the target, and nothing else: ``(keyword, batch_id, images)``."""
-    present = stored.select("keyword", "filename", "batch_id").withColumn("stored", F.lit(1))
+    # first cut to the batches in question: they are partitions, so only their files are opened
+    numbers = broadcast_if_small(assigned.select("keyword", "batch_id").distinct())
+    present = stored.select("keyword", "filename", "batch_id").join(numbers, ["keyword", "batch_id"], "left_semi")
     expected = assigned.select("keyword", "filename", "batch_id").withColumn("expected", F.lit(1))
-    numbers = expected.select("keyword", "batch_id").distinct()
-    both = expected.join(present, ["keyword", "batch_id", "filename"], "full").join(numbers, ["keyword", "batch_id"], "left_semi")
+    both = expected.join(present.withColumn("stored", F.lit(1)), ["keyword", "batch_id", "filename"], "full")
     return (
         both.groupBy("keyword", "batch_id")
         .agg(F.count("expected").alias("images"), F.count("stored").alias("found"), F.count("*").alias("names"))
@@ -93,11 +95,12 @@ def load_batches(
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """The committed rows; a ledger that does not exist yet is empty."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-    if not exists:
+    try:
+        return spark.read.schema(LEDGER_SCHEMA).parquet(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
 
 def manifest_header(ledger: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from weftloom.functions import urls
 from weftloom.operators import crawl, html, ranking, reporting, scoring
 from weftloom.operators.dedup import Layer, deduplicate, standard_layers
 from weftloom.params import SCRIPT_PRESET, CurationParams
@@ -15,12 +16,14 @@ def acquire(
 ) -> DataFrame:
     """From stored pages to the scoring requests of every keyword that shares the crawl."""
     links = html.page_links(pages)
-    internal = crawl.internal_links(links, seeds).select("url", "link").distinct()
+    own = urls.normalize(F.col("url")).alias("url")
+    internal = crawl.internal_links(links, seeds).select(own, "link").distinct()
     targets = internal.select(F.col("link").alias("url")).distinct()
     closed = crawl.robots_allowed(targets, robots).where("not allowed")
-    reached = crawl.crawl_reachable(seeds, internal, closed, params.max_crawl_pages)
-    pool = crawl.keyword_url_pool(keywords, seeds.withColumn("keyword", F.lit(None).cast("string")),
-                                  reached.select(F.lit(None).cast("string").alias("keyword"), "url"), reached)
+    starts = seeds.select(own)
+    reached = crawl.crawl_reachable(starts, internal, closed, params.max_crawl_pages)
+    nobody = F.lit(None).cast("string").alias("keyword")
+    pool = crawl.keyword_url_pool(keywords, seeds.select(nobody, "url"), reached.select(nobody, "url").limit(0), reached)
     numbered = pool.withColumn("pos", F.col("url"))
     return scoring.score_requests(scoring.score_batches(numbered, params.score_batch_size))
 

@@ -27,8 +27,7 @@ def stream_load(
     """
 
     def ship(batch: DataFrame, _: int) -> None:
-        first = batch.dropDuplicates(["keyword", "filename"])
-        load_batches(batch.sparkSession, first, ledger_path, target, batch_size)
+        load_batches(batch.sparkSession, batch, ledger_path, target, batch_size)
 
     return (
         images.writeStream.foreachBatch(ship)
