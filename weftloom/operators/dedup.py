@@ -37,7 +37,7 @@ def standard_layers(params: CurationParams = SCRIPT_PRESET) -> list[Layer]:
     return [
         Layer("hash", HammingIndex(params.hash_distance, "bits")),
         Layer("histogram", VectorIndex(params.histogram_min, "hist", centred=True), "flat"),
-        Layer("structure", StructureIndex(params.ssim_high, "gray"), max_images=params.ssim_max_images, cell_rows=512),
+        Layer("structure", StructureIndex(params.ssim_high, "gray"), max_images=params.ssim_max_images),
         Layer("embedding", VectorIndex(params.embedding_min, "embedding"), "pass"),
     ]
 

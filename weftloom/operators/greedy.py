@@ -14,7 +14,7 @@ from weftloom.operators.simjoin import KEY, home_rows, probe_rows
 from weftloom.session import materialize
 
 FINISH_EDGES = 200_000
-HOT_CELL_ROWS = 4096
+HOT_CELL_ROWS = 512
 STATE_SCHEMA = "keyword string, image_id long, state string"
 
 
@@ -118,13 +118,6 @@ def _within(rows: DataFrame, limits: DataFrame, inside: bool) -> DataFrame:
     return marked.where(fits if inside else ~fits).drop("limit")
 
 
-def _same_feature_copies(items: DataFrame, feature: str) -> tuple[DataFrame, DataFrame]:
-    """Representatives (least id of every distinct feature) and the map from every image to its own."""
-    firsts = items.groupBy("keyword", feature).agg(F.min("image_id").alias("first_id"))
-    mapping = materialize(items.join(firsts, ["keyword", feature]).select(*KEY, "first_id"))
-    return firsts.select("keyword", F.col("first_id").alias("image_id"), feature), mapping
-
-
 def first_wins(
     items: DataFrame,
     index,
@@ -139,14 +132,16 @@ def first_wins(
       kept, so one representative stands for them;
     * while a cell is hot, only its first ``cell_rows`` images are compared with each other; the
       images settled that way remove their look-alikes from the rest, which is linear in the
-      rest, before the next, twice as large, portion of the cell is compared.
+      rest, before the next, larger portion of the cell is compared.
 
-    A large group of near copies thus shrinks to the few kept ones in the first round.
+    A large group of near copies thus shrinks to the few kept ones in the first round. How fast the
+    portion grows depends on that: fourfold while look-alikes keep going, else 64-fold, as
+    there is little to gain from small portions of a cell of different images.
     """
     items = items.select(*KEY, index.feature)
-    representatives, mapping = _same_feature_copies(items, index.feature)
     feature = index.feature
-    active = assigned = materialize(index.assign(representatives))
+    representatives = items.groupBy("keyword", feature).agg(F.min("image_id").alias("image_id"))
+    active = assigned = index.assign(materialize(representatives))
     decided = None
     direct_edges = None
     while True:
@@ -182,7 +177,8 @@ def first_wins(
         fate_now = settled.unionByName(peeled.withColumn("kept", F.lit(False)))
         decided = fate_now if decided is None else decided.unionByName(fate_now)
         active = materialize(open_rows.join(peeled, KEY, "left_anti"))
-        cell_rows *= 2
+        left, gone = active.count(), peeled.count()
+        cell_rows *= 4 if gone * 10 > left else 64
 
     if direct_edges is not None:
         candidates = direct_edges.join(decided.where("kept").select("keyword", F.col("image_id").alias("a")), ["keyword", "a"], "left_semi")
@@ -191,11 +187,15 @@ def first_wins(
         side = lambda keep: assigned.join(decided.where(F.col("kept") == keep).select(*KEY), KEY, "left_semi")
         candidates = index.match(home_rows(side(True), feature), probe_rows(side(False), feature), nearest_only=True)
     removers = candidates.groupBy("keyword", F.col("b").alias("image_id")).agg(F.min("a").alias("removed_by"))
-    firsts = decided.join(removers, KEY, "left").select(
-        "keyword", F.col("image_id").alias("first_id"), F.col("kept").alias("first_kept"), F.col("removed_by").alias("first_removed_by")
+    fates = assigned.select(*KEY, feature).join(decided, KEY).join(removers, KEY, "left").select(
+        "keyword",
+        feature,
+        F.col("image_id").alias("first_id"),
+        F.col("kept").alias("first_kept"),
+        F.col("removed_by").alias("first_removed_by"),
     )
     is_first = F.col("image_id") == F.col("first_id")
-    return mapping.join(firsts, ["keyword", "first_id"]).select(
+    return items.join(fates, ["keyword", feature]).select(
         *KEY,
         (is_first & F.col("first_kept")).alias("kept"),
         F.when(F.col("first_kept"), F.when(~is_first, F.col("first_id"))).otherwise(F.col("first_removed_by")).alias("removed_by"),

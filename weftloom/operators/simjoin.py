@@ -1,7 +1,7 @@
 """Exact similarity self-joins inside a keyword.
 
 Each index turns an image into cells: ``homes``, the cells it is stored in, and ``probes``, the
-cells in which an image similar to it may be stored. Two images are compared only where a cell of
+cells in which an image similar to it may be stored (``assign``, cheap to evaluate again). Two images are compared only where a cell of
 one meets a cell of the other, and every similar pair ``a < b`` is reported exactly once: ``a`` at
 home, ``b`` probing. No index is approximate; a poor choice of cells only costs time.
 """
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weftloom.functions import images
 from weftloom.functions.vectors import hamming
+from weftloom.session import materialize
 
 KEY = ["keyword", "image_id"]
 EDGE_SCHEMA = "keyword string, a long, b long, score double"
@@ -179,15 +180,15 @@ class VectorIndex:
         return unit_rows(column, self.centred)
 
     def _pivots(self, items: DataFrame) -> dict[str, np.ndarray]:
-        cell_rows = max(self.cell_rows, math.ceil(items.count() / self.max_pivots))
+        sizes = items.groupBy("keyword").count()
+        total, largest = sizes.agg(F.sum("count"), F.max("count")).first()
+        cell_rows = max(self.cell_rows, math.ceil((total or 0) / self.max_pivots))
+        if (largest or 0) <= cell_rows:
+            return {}
         large = (
-            items.groupBy("keyword")
-            .count()
-            .where(F.col("count") > cell_rows)
+            sizes.where(F.col("count") > cell_rows)
             .select("keyword", (F.ceil(F.col("count") / cell_rows) / F.col("count")).alias("share"))
         ).collect()  # at most max_pivots rows, as each stands for more than total / max_pivots images
-        if not large:
-            return {}
         shares = items.sparkSession.createDataFrame(large, "keyword string, share double")
         drawn = F.pmod(F.xxhash64("image_id"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
         chosen = items.join(F.broadcast(shares), "keyword").where(drawn).select("keyword", self.feature).toArrow()
@@ -224,7 +225,8 @@ class VectorIndex:
 
         kind = items.schema[self.feature].dataType.simpleString()
         schema = f"keyword string, image_id long, feature {kind}, homes array<int>, probes array<int>"
-        return items.withColumnRenamed(self.feature, "feature").mapInArrow(place, schema).withColumnRenamed("feature", self.feature)
+        placed = items.withColumnRenamed(self.feature, "feature").mapInArrow(place, schema)
+        return materialize(placed.withColumnRenamed("feature", self.feature))
 
     def match(self, homes: DataFrame, probes: DataFrame, nearest_only: bool = False) -> DataFrame:
         unit, threshold = self._unit, self.threshold
@@ -248,7 +250,7 @@ class StructureIndex:
 
     threshold: float
     feature: str = "gray"
-    block_rows: int = 64
+    block_rows: int = 32
 
     def assign(self, items: DataFrame) -> DataFrame:
         return _one_cell(items, self.feature)

@@ -54,6 +54,12 @@ def _all_anchors(spark, sf) -> DataFrame:
     return vectors(spark, sf).groupBy("keyword").agg(F.min_by("embedding", "image_id").alias("embedding"))
 
 
+def _candidates(spark, sf) -> DataFrame:
+    """Vectors to rank: all but the anchors, which are not images of the corpus."""
+    firsts = vectors(spark, sf).where("keyword < '7'").groupBy("keyword").agg(F.min("image_id").alias("image_id"))
+    return vectors(spark, sf).join(firsts, ["keyword", "image_id"], "left_anti")
+
+
 # --- features ---
 
 
@@ -133,7 +139,7 @@ def cosine_pairs(spark, sf):
 def ssim_pairs(spark, sf):
     pixels = features.bytes_as_pixels(texts(spark, sf), "content")
     rasters = materialize(features.pixel_features(pixels, ("gray",)))
-    return _rounded(simjoin.similar_pairs(rasters, StructureIndex(0.5)))
+    return _rounded(simjoin.similar_pairs(rasters, StructureIndex(0.8)))
 
 
 FATE = "SELECT keyword, image_id, kept, removed_by FROM g"
@@ -284,7 +290,8 @@ def unreadable_policy(spark, sf):
 ANCHORS_SQL = UNITS_SQL + """,
 anchors AS MATERIALIZED (SELECT keyword, arg_min(v, image_id) AS f, min(image_id) AS anchor_id FROM units WHERE keyword < '7' GROUP BY 1)"""
 SCORED_SQL = ANCHORS_SQL + """,
-scored AS MATERIALIZED (SELECT keyword, image_id, list_dot_product(v, f) AS score FROM units JOIN anchors USING (keyword)),
+scored AS MATERIALIZED (
+  SELECT keyword, image_id, list_dot_product(v, f) AS score FROM units JOIN anchors USING (keyword) WHERE image_id <> anchor_id),
 ranked AS MATERIALIZED (
   SELECT keyword, image_id, score, row_number() OVER (PARTITION BY keyword ORDER BY score DESC, image_id) AS rank
   FROM scored WHERE score >= 0.0),
@@ -303,7 +310,7 @@ final AS MATERIALIZED (
 
 
 def _ranked(spark, sf):
-    scored = ranking.reference_sort(vectors(spark, sf), _anchors(spark, sf), BANDS.rank_min)
+    scored = ranking.reference_sort(_candidates(spark, sf), _anchors(spark, sf), BANDS.rank_min)
     return ranking.with_ranks(materialize(scored))
 
 
@@ -336,7 +343,7 @@ def keywords_without_anchor(spark, sf):
 
 @query(f"WITH {SCORED_SQL} SELECT keyword, image_id, round(score, 6) AS score FROM ranked")
 def reference_sort(spark, sf):
-    scored = ranking.reference_sort(vectors(spark, sf), _anchors(spark, sf), BANDS.rank_min)
+    scored = ranking.reference_sort(_candidates(spark, sf), _anchors(spark, sf), BANDS.rank_min)
     return _rounded(scored).select("keyword", "image_id", "score")
 
 
@@ -433,7 +440,9 @@ def report_html(spark, sf):
 
 
 @query(f"""
-WITH RECURSIVE {ANCHORS_SQL}, {cosine_edges_sql('units', 'e', f'> {COSINE}')}, {greedy_sql('units', 'e', 'g')},
+WITH RECURSIVE {ANCHORS_SQL},
+corpus AS MATERIALIZED (SELECT * FROM units WHERE image_id NOT IN (SELECT anchor_id FROM anchors)),
+{cosine_edges_sql('corpus', 'e', f'> {COSINE}')}, {greedy_sql('corpus', 'e', 'g')},
 s AS (SELECT keyword, image_id, list_dot_product(v, f) AS score FROM units JOIN anchors USING (keyword) JOIN g USING (keyword, image_id) WHERE kept)
 SELECT keyword, image_id, round(score, 6) AS score,
        row_number() OVER (PARTITION BY keyword ORDER BY score DESC, image_id)::INTEGER AS rank,
@@ -442,4 +451,4 @@ FROM s WHERE score >= 0.0""")
 def curated(spark, sf):
     """The flagship: duplicates out, ranked against the anchors, banded."""
     layers = [Layer("embedding", VectorIndex(COSINE), "pass")]
-    return _rounded(curate.curate(vectors(spark, sf), _anchors(spark, sf), layers, BANDS))
+    return _rounded(curate.curate(_candidates(spark, sf), _anchors(spark, sf), layers, BANDS))
