@@ -176,7 +176,7 @@ def test_embedding_layer_with_hot_cells(spark, cell_rows, pivot_rows):
 
 
 def test_flat_histograms_follow_the_first_image(spark):
-    flat, a, b = [0.0] * 8, [1.0, 0, 0, 0, 0, 0, 0, 0], [0, 0, 0, 0, 0, 0, 1.0, 0]
+    flat, a, b = [0.0] * 8, [1.0] + [0.0] * 7, [0.0] * 7 + [1.0]
     rows = [("x", 1, a), ("x", 2, flat), ("x", 3, b), ("x", 4, None), ("x", 5, [0.5] * 8),
             ("y", 11, flat), ("y", 12, a), ("y", 13, flat)]
     items = spark.createDataFrame(rows, "keyword string, image_id long, hist array<double>")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from weftloom.functions import urls
 from weftloom.operators.ordering import number_rows, running_max
-from weftloom.session import broadcast_if_small, materialize
+from weftloom.session import broadcast_if_small, checkpoint_root, materialize
+
+SMALL_FRONTIER = 10_000
+SMALL_FRONTIER_HOPS = 8
 
 
 def internal_links(links: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -73,19 +78,41 @@ def crawl_reachable(
     """URLs reachable from ``seeds(url)`` over ``links(url, link)``: ``(url, depth)``.
 
     ``closed(url)`` are URLs that are visited but not expanded (disallowed, failed or not
-    HTML). One join per depth; every depth is a written table, so nothing is recomputed. With ``max_pages``
-    the first pages by depth, then URL, are kept, and no depth beyond the cap is explored.
+    HTML). With ``max_pages`` the first pages by depth, then URL, are kept, and no depth far
+    beyond the cap is explored.
+
+    Every round appends to one table of visited URLs, so that plans stay the same size however deep the
+    site is. A large frontier advances by one depth a round, a small one by several, as a
+    round then costs more than the rows in it.
     """
-    frontier = materialize(seeds.select("url").distinct().withColumn("depth", F.lit(0)))
-    visited, count, depth = frontier, frontier.count(), 0
-    while not frontier.isEmpty() and (max_pages is None or count < max_pages):
-        depth += 1
-        open_urls = frontier.select("url")
-        if closed is not None:
-            open_urls = open_urls.join(closed.select("url"), "url", "left_anti")
-        found = links.join(open_urls, "url", "left_semi").select(F.col("link").alias("url")).distinct()
-        frontier = materialize(found.join(visited.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth)))
-        visited, count = visited.unionByName(frontier), count + frontier.count()
+    spark = seeds.sparkSession
+    table = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
+    open_links = links.select("url", "link").distinct()
+    if closed is not None:
+        open_links = open_links.join(closed.select("url"), "url", "left_anti")
+    open_links = materialize(open_links)
+
+    seeds.select("url").distinct().withColumn("depth", F.lit(0)).write.parquet(f"{table}/round=0")
+    schema = "url string, depth int"
+    read = lambda path: spark.read.schema(schema).parquet(path)
+    depth, rounds = 0, 0
+    count = frontier_size = read(f"{table}/round=0").count()
+    while frontier_size and (max_pages is None or count < max_pages):
+        hops = 1 if frontier_size > SMALL_FRONTIER else SMALL_FRONTIER_HOPS
+        visited = read(table)
+        step = read(f"{table}/round={rounds}").where(F.col("depth") == depth).select("url")
+        found = None
+        for hop in range(1, hops + 1):
+            step = open_links.join(step, "url", "left_semi").select(F.col("link").alias("url"))  # at most all links
+            reached = step.withColumn("depth", F.lit(depth + hop))
+            found = reached if found is None else found.unionByName(reached)
+        new = found.groupBy("url").agg(F.min("depth").alias("depth")).join(visited.select("url"), "url", "left_anti")
+        rounds, depth = rounds + 1, depth + hops
+        new.write.parquet(f"{table}/round={rounds}")
+        written = read(f"{table}/round={rounds}")
+        added, frontier_size = written.agg(F.count("*"), F.count_if(F.col("depth") == depth)).first()
+        count += added
+    visited = read(table)
     if max_pages is not None and count > max_pages:
         visited = visited.orderBy("depth", "url").limit(max_pages)
     return visited

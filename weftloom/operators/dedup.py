@@ -61,7 +61,8 @@ def _with_flat_histograms(items: DataFrame, layer: Layer) -> DataFrame:
     itself flat it removes the whole keyword. Nothing else about flat rows needs comparing.
     """
     feature = layer.index.feature
-    marked = items.select(*KEY, feature, (F.col(feature).isNull() | is_flat(as_double(F.col(feature)))).alias("flat"))
+    flat = F.col(feature).isNull() | is_flat(as_double(F.col(feature)))
+    marked = materialize(items.select(*KEY, feature, flat.alias("flat")))
     firsts = marked.groupBy("keyword").agg(
         F.min("image_id").alias("first_id"), F.min_by("flat", "image_id").alias("first_flat")
     )

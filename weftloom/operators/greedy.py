@@ -7,36 +7,43 @@ removes nobody.
 
 from __future__ import annotations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weftloom.operators.simjoin import KEY, home_rows, probe_rows
 from weftloom.session import materialize
 
-FINISH_EDGES = 200_000
+FINISH_EDGES = 2_000_000
 HOT_CELL_ROWS = 512
+KEPT, UNKNOWN, REMOVED = 0, 1, 2
 STATE_SCHEMA = "keyword string, image_id long, state string"
 
 
 def _in_order(edges: pa.Table) -> pa.Table:
-    """Settle the few edges of one keyword one after the other."""
-    state: dict[int, str] = {}
-    ordered = edges.sort_by([("b", "ascending"), ("a", "ascending")])
-    columns = [ordered.column(c).to_pylist() for c in ("a", "b", "a_waits", "b_waits")]
-    for a, b, a_waits, b_waits in zip(*columns):
-        if a not in state:  # it never is a "b": all edges into it would have come before
-            state[a] = "unknown" if a_waits else "kept"
-        current = state.get(b, "unknown" if b_waits else "kept")
-        if state[a] == "kept":
-            current = "removed"
-        elif state[a] == "unknown" and current == "kept":
-            current = "unknown"
-        state[b] = current
+    """Settle the few edges of one keyword, image after image."""
+    a, b = edges.column("a").to_numpy(), edges.column("b").to_numpy()
+    ids, places = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a_place, b_place = places[: len(a)], places[len(a) :]
+    waits = np.zeros(len(ids), dtype=bool)
+    waits[a_place] |= edges.column("a_waits").to_numpy()
+    waits[b_place] |= edges.column("b_waits").to_numpy()
+    state = np.where(waits, UNKNOWN, KEPT)
+    order = np.argsort(b_place, kind="stable")
+    a_place = a_place[order]
+    ends, starts = np.unique(b_place[order], return_index=True)
+    for place, earlier in zip(ends, np.split(a_place, starts[1:])):
+        before = state[earlier]
+        if (before == KEPT).any():
+            state[place] = REMOVED
+        elif (before == UNKNOWN).any():
+            state[place] = UNKNOWN
+    names = np.array(["kept", "unknown", "removed"], dtype=object)
     keyword = edges.column("keyword")[0].as_py()
     return pa.table({
-        "keyword": pa.array([keyword] * len(state), pa.string()),
-        "image_id": pa.array(list(state), pa.int64()),
-        "state": pa.array(list(state.values()), pa.string()),
+        "keyword": pa.array([keyword] * len(ids), pa.string()),
+        "image_id": pa.array(ids, pa.int64()),
+        "state": pa.array(names[state], pa.string()),
     })
 
 
@@ -118,6 +125,21 @@ def _within(rows: DataFrame, limits: DataFrame, inside: bool) -> DataFrame:
     return marked.where(fits if inside else ~fits).drop("limit")
 
 
+def _later_copies(items: DataFrame, feature: str) -> DataFrame:
+    """``(keyword, image_id, first_id)`` of every image whose feature an earlier image has exactly.
+
+    Only a digest of the feature is grouped for all images; the features themselves are compared where
+    a digest occurs more than once.
+    """
+    marked = items.select(*KEY, feature, F.xxhash64(feature).alias("digest"))
+    shared = marked.groupBy("keyword", "digest").agg(F.count("*").alias("n")).where("n > 1").select("keyword", "digest")
+    suspects = marked.join(shared, ["keyword", "digest"], "left_semi")
+    firsts = suspects.groupBy("keyword", "digest", feature).agg(F.min("image_id").alias("first_id"))
+    return materialize(
+        suspects.join(firsts, ["keyword", "digest", feature]).where("image_id <> first_id").select(*KEY, "first_id")
+    )
+
+
 def first_wins(
     items: DataFrame,
     index,
@@ -129,7 +151,7 @@ def first_wins(
     The pairs are never all listed:
 
     * images with equal features share their fate, bar that only the first of them can be
-      kept, so one representative stands for them;
+      kept, so that one stands for them;
     * while a cell is hot, only its first ``cell_rows`` images are compared with each other; the
       images settled that way remove their look-alikes from the rest, which is linear in the
       rest, before the next, larger portion of the cell is compared.
@@ -140,7 +162,8 @@ def first_wins(
     """
     items = items.select(*KEY, index.feature)
     feature = index.feature
-    representatives = items.groupBy("keyword", feature).agg(F.min("image_id").alias("image_id"))
+    copies = _later_copies(items, feature)
+    representatives = items.join(copies.select(*KEY), KEY, "left_anti")
     active = assigned = index.assign(materialize(representatives))
     decided = None
     direct_edges = None
@@ -187,19 +210,15 @@ def first_wins(
         side = lambda keep: assigned.join(decided.where(F.col("kept") == keep).select(*KEY), KEY, "left_semi")
         candidates = index.match(home_rows(side(True), feature), probe_rows(side(False), feature), nearest_only=True)
     removers = candidates.groupBy("keyword", F.col("b").alias("image_id")).agg(F.min("a").alias("removed_by"))
-    fates = assigned.select(*KEY, feature).join(decided, KEY).join(removers, KEY, "left").select(
+    fates = decided.join(removers, KEY, "left").select(*KEY, "kept", "removed_by")
+    # a copy goes with its first: removed by it if that is kept, otherwise by what removed that
+    by_first = fates.select(
         "keyword",
-        feature,
         F.col("image_id").alias("first_id"),
-        F.col("kept").alias("first_kept"),
-        F.col("removed_by").alias("first_removed_by"),
-    )
-    is_first = F.col("image_id") == F.col("first_id")
-    return items.join(fates, ["keyword", feature]).select(
-        *KEY,
-        (is_first & F.col("first_kept")).alias("kept"),
-        F.when(F.col("first_kept"), F.when(~is_first, F.col("first_id"))).otherwise(F.col("first_removed_by")).alias("removed_by"),
+        F.when(F.col("kept"), F.col("image_id")).otherwise(F.col("removed_by")).alias("removed_by"),
     )
+    copied = copies.join(by_first, ["keyword", "first_id"]).select(*KEY, F.lit(False).alias("kept"), "removed_by")
+    return fates.unionByName(copied)
 
 
 def greedy_dedup(nodes: DataFrame, edges: DataFrame, finish_edges: int = FINISH_EDGES) -> DataFrame:

@@ -128,7 +128,7 @@ WITH RECURSIVE n AS (SELECT count(*) AS n FROM customer),
 links AS MATERIALIZED (
   SELECT c_custkey AS k, (7 * c_custkey + 3) % n AS t FROM customer, n WHERE c_mktsegment <> 'MACHINERY'
   UNION ALL SELECT c_custkey, (11 * c_custkey + 5) % n FROM customer, n WHERE c_mktsegment <> 'MACHINERY'),
-reach(k) AS (SELECT 1::BIGINT UNION SELECT t FROM links JOIN reach USING (k))
+reach(k) AS (SELECT 0::BIGINT UNION SELECT t FROM links JOIN reach USING (k))
 SELECT 'http://shop.example/' || k AS url FROM reach""")
 def crawl_reachable(spark, sf):
     """Customers as pages of a site with two links each; one market segment is visited but not expanded."""
@@ -141,7 +141,7 @@ def crawl_reachable(spark, sf):
         customers.select(address(key).alias("url"), F.explode(targets).alias("t")).select("url", address(F.col("t")).alias("link"))
     )
     closed = customers.where("c_mktsegment = 'MACHINERY'").select(address(key).alias("url"))
-    seeds = customers.where("c_custkey = 1").select(address(key).alias("url"))
+    seeds = customers.where("c_custkey = 0").select(address(key).alias("url"))
     return crawl.crawl_reachable(seeds, links, closed).select("url")
 
 
