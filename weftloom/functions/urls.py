@@ -79,7 +79,10 @@ def _without_dots(absolute_path: Column) -> Column:
 
 def resolve(base: Column, reference: Column) -> Column:
     """``reference`` as seen from the absolute URL ``base``; a full URL keeps its path as written."""
+    as_written = reference
     reference = F.regexp_replace(reference, r"[\t\r\n]", "")
+    same_scheme = scheme(reference) == scheme(base)
+    reference = F.when(same_scheme, F.regexp_replace(reference, r"^[^:]*:(?!//)", "")).otherwise(reference)
     path_of = raw_path(reference)
     # an empty query or fragment leaves no mark
     tail = F.regexp_replace(F.regexp_extract(reference, r"^[^?#]*(.*)$", 1), r"\?(?=#|$)|#$", "")
@@ -92,7 +95,7 @@ def resolve(base: Column, reference: Column) -> Column:
         F.when(reference == "", base)
         .when(
             reference.rlike(SCHEME),
-            F.when(host(reference) != "", F.concat(origin(reference), path_of, tail)).otherwise(reference),
+            F.when(same_scheme, F.concat(origin(reference), path_of, tail)).otherwise(as_written),
         )
         .when(F.startswith(reference, F.lit("//")), F.concat(scheme(base), F.lit("://"), host(reference), path_of, tail))
         .when(F.startswith(reference, F.lit("?")), F.concat(origin(base), base_path, tail))
