@@ -9,6 +9,7 @@ from weftloom.functions import images
 from weftloom.functions.vectors import median_bits
 from weftloom.operators import dedup, features, greedy, simjoin
 from weftloom.operators.dedup import Layer
+from weftloom.operators.greedy import Portions
 from weftloom.operators.simjoin import HammingIndex, StructureIndex, VectorIndex
 from weftloom.params import NOTEBOOK_PRESET, SCRIPT_PRESET
 
@@ -110,8 +111,12 @@ def test_planted_hash_edges(spark):
     assert {(0, 1), (0, 2), (1, 2), (2, 3)} <= got and (0, 3) not in got and (0, 4) in got
 
 
-@pytest.mark.parametrize("cell_rows,finish", [(512, 100_000), (4, 100_000), (4, 0)])
-def test_hash_layer_with_hot_cells(spark, cell_rows, finish):
+SMALL = Portions(cell_rows=4, pairs_per_image=0.5, finish_edges=100_000)
+SMALL_ROUNDS = Portions(cell_rows=4, pairs_per_image=0.5, finish_edges=0)
+
+
+@pytest.mark.parametrize("portions", [Portions(), SMALL, SMALL_ROUNDS])
+def test_hash_layer_with_hot_cells(spark, portions):
     """A third of all images are exact copies and another third near copies, placed last in order."""
     rows = near_hashes(1, 60, 20)
     far = 0x5555555555555555
@@ -120,7 +125,7 @@ def test_hash_layer_with_hot_cells(spark, cell_rows, finish):
     for k, i, v in rows:
         items.setdefault(k, []).append((i, v))
     want = first_wins_loop(items, lambda x, y: distance(x, y) <= 8)
-    layer = Layer("hash", HammingIndex(8), cell_rows=cell_rows, finish_edges=finish)
+    layer = Layer("hash", HammingIndex(8), portions=portions)
     assert decisions(dedup.run_layer(hash_items(spark, rows), layer)) == want
 
 
@@ -157,9 +162,9 @@ def test_pivot_cells_lose_no_pair(spark, threshold, centred):
     assert len(got) == len(want) and {(r.keyword, r.a, r.b) for r in got} == want
 
 
-@pytest.mark.parametrize("cell_rows", [512, 6])
+@pytest.mark.parametrize("portions", [Portions(), SMALL])
 @pytest.mark.parametrize("pivot_rows", [4096, 30])
-def test_embedding_layer_with_hot_cells(spark, cell_rows, pivot_rows):
+def test_embedding_layer_with_hot_cells(spark, portions, pivot_rows):
     rows = clustered_vectors(5, 120, 12)
     one = np.ones(16) / 4
     rng = np.random.default_rng(7)
@@ -171,7 +176,7 @@ def test_embedding_layer_with_hot_cells(spark, cell_rows, pivot_rows):
         items.setdefault(k, []).append((i, v))
     with np.errstate(invalid="ignore"):
         want = first_wins_loop(items, lambda x, y: cosine(x, y) > 0.97)
-    layer = Layer("embedding", VectorIndex(0.97, cell_rows=pivot_rows, block_rows=16), "pass", cell_rows=cell_rows)
+    layer = Layer("embedding", VectorIndex(0.97, cell_rows=pivot_rows, block_rows=16), "pass", portions=portions)
     assert decisions(dedup.run_layer(vector_items(spark, rows), layer)) == want
 
 
@@ -221,13 +226,15 @@ def pixel_rows(spark, pictures):
 
 
 def picture(seed, height=300, width=280):
+    """Soft random shapes, away from black and white."""
     rng = np.random.default_rng(seed)
-    y, x = np.mgrid[0:height, 0:width]
-    layers = [
-        127 + 60 * np.sin(x / rng.uniform(10, 40) + rng.uniform(0, 6)) + 60 * np.cos(y / rng.uniform(10, 40) + rng.uniform(0, 6))
-        for _ in range(3)
-    ]
-    return np.stack(layers, axis=2).clip(0, 255).astype(np.uint8)
+    y, x = np.linspace(0, 11, height), np.linspace(0, 11, width)
+    channels = []
+    for _ in range(3):
+        coarse = rng.uniform(30, 220, (13, 13))
+        rows = np.stack([np.interp(x, np.arange(13), row) for row in coarse])
+        channels.append(np.stack([np.interp(y, np.arange(13), column) for column in rows.T], axis=1))
+    return np.stack(channels, axis=2).astype(np.uint8)
 
 
 def test_pixel_features(spark):

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from weftloom.functions.vectors import as_double, is_flat, l2_norm
-from weftloom.operators.greedy import FINISH_EDGES, HOT_CELL_ROWS, first_wins
+from weftloom.operators.greedy import Portions, first_wins
 from weftloom.operators.simjoin import KEY, HammingIndex, StructureIndex, VectorIndex
 from weftloom.params import SCRIPT_PRESET, CurationParams
 from weftloom.session import materialize
@@ -29,8 +29,7 @@ class Layer:
     index: object
     unreadable: str = "drop"
     max_images: int | None = None
-    cell_rows: int = HOT_CELL_ROWS
-    finish_edges: int = FINISH_EDGES
+    portions: Portions = Portions()
 
 
 def standard_layers(params: CurationParams = SCRIPT_PRESET) -> list[Layer]:
@@ -73,13 +72,13 @@ def _with_flat_histograms(items: DataFrame, layer: Layer) -> DataFrame:
         (F.col("image_id") == F.col("first_id")).alias("kept"),
         F.when(F.col("image_id") != F.col("first_id"), F.col("first_id")).alias("removed_by"),
     )
-    return first_wins(normal, layer.index, layer.cell_rows, layer.finish_edges).unionByName(ruled)
+    return first_wins(normal, layer.index, layer.portions).unionByName(ruled)
 
 
 def _with_vectors(items: DataFrame, layer: Layer) -> DataFrame:
     """Embedding layer. A zero vector resembles nothing, not even another zero vector."""
     zero = l2_norm(as_double(F.col(layer.index.feature))) == 0
-    resolved = first_wins(items.where(~zero), layer.index, layer.cell_rows, layer.finish_edges)
+    resolved = first_wins(items.where(~zero), layer.index, layer.portions)
     return resolved.unionByName(_all_kept(items.where(zero)))
 
 
@@ -96,7 +95,7 @@ def run_layer(items: DataFrame, layer: Layer) -> DataFrame:
     elif isinstance(layer.index, VectorIndex):
         result = _with_vectors(items.where(present), layer)
     else:
-        result = first_wins(items.where(present), layer.index, layer.cell_rows, layer.finish_edges)
+        result = first_wins(items.where(present), layer.index, layer.portions)
 
     if layer.unreadable == "pass":
         readable = items.groupBy("keyword").agg(F.bool_or(present).alias("any")).where("not any")

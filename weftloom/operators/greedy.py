@@ -7,6 +7,8 @@ removes nobody.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -14,9 +16,23 @@ from pyspark.sql import DataFrame, functions as F
 from weftloom.operators.simjoin import KEY, home_rows, probe_rows
 from weftloom.session import materialize
 
-FINISH_EDGES = 2_000_000
-HOT_CELL_ROWS = 512
 KEPT, UNKNOWN, REMOVED = 0, 1, 2
+
+
+@dataclass(frozen=True)
+class Portions:
+    """How the work is cut; results do not depend on it.
+
+    Cells of more than ``cell_rows`` images are checked for look-alikes by the thousand, and together
+    get about ``pairs_per_image`` pairs for every image in the first round. Edges are
+    settled in order, by one task per keyword, once at most ``finish_edges`` are open.
+    """
+
+    cell_rows: int = 512
+    pairs_per_image: float = 64.0
+    finish_edges: int = 2_000_000
+
+
 STATE_SCHEMA = "keyword string, image_id long, state string"
 
 
@@ -47,7 +63,7 @@ def _in_order(edges: pa.Table) -> pa.Table:
     })
 
 
-def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int = FINISH_EDGES) -> DataFrame:
+def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int = Portions.finish_edges) -> DataFrame:
     """State of every image that occurs in ``edges`` (``keyword, a, b`` with ``a < b``), a materialized table.
 
     ``waiting`` lists images that may still have earlier look-alikes which are not among the edges:
@@ -102,21 +118,33 @@ def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int
     return result
 
 
-def _hot_limits(assigned: DataFrame, cell_rows: int) -> DataFrame | None:
-    """For every cell that stores more than ``cell_rows`` images, an id that about that many do not exceed."""
-    cells = assigned.select("keyword", "image_id", F.explode("homes").alias("cell"))
-    hot = cells.groupBy("keyword", "cell").count().where(F.col("count") > cell_rows)
-    if hot.isEmpty():
+def _crowd_limits(assigned: DataFrame, index, cell_rows: int, budget: float) -> DataFrame | None:
+    """``(keyword, cell, limit)`` for the large cells with far more than their part of ``budget`` similar pairs.
+
+    In cells of more than ``cell_rows`` images about that many, drawn by hash, are compared to
+    estimate their pairs. ``limit`` is an id up to which about the cell's part is expected. The draw
+    only decides how the work is portioned, never what is compared in the end.
+    """
+    feature = index.feature
+    homes, probes = home_rows(assigned, feature), probe_rows(assigned, feature)
+    large = homes.groupBy("keyword", "cell").count().where(F.col("count") > cell_rows)
+    cells = large.count()
+    if not cells:
         return None
-    # the image count is halved until it fits: quantile 1/2, 1/4, … of the ids of the cell
-    halvings = F.ceil(F.log2(F.col("count") / cell_rows)).cast("int")
-    quantiles = F.percentile_approx("image_id", [0.5**i for i in range(1, 31)], 100_000)
-    return materialize(
-        cells.join(hot, ["keyword", "cell"])
-        .groupBy("keyword", "cell", "count")
-        .agg(quantiles.alias("ids"))
-        .select("keyword", "cell", F.element_at("ids", F.least(halvings, F.lit(30))).alias("limit"))
+    cell_pairs = budget / cells
+    large = materialize(large.select("keyword", "cell", (F.lit(cell_rows) / F.col("count")).alias("share")))
+    drawn = F.pmod(F.xxhash64("image_id"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
+    draw = lambda rows: rows.join(large, ["keyword", "cell"]).where(drawn).drop("share")
+    halves = F.percentile_approx("b", [0.5**i for i in range(1, 31)], 100_000)
+    pairs = index.match(draw(homes), draw(probes)).groupBy("keyword", "cell").agg(F.count("*").alias("n"), halves.alias("ids"))
+    expected = F.col("n") / (F.col("share") * F.col("share"))
+    halvings = F.least(F.ceil(F.log2(expected / cell_pairs)), F.lit(30)).cast("int")
+    limits = materialize(
+        pairs.join(large, ["keyword", "cell"])
+        .where(expected > 2 * cell_pairs)
+        .select("keyword", "cell", F.element_at("ids", halvings).alias("limit"))
     )
+    return None if limits.isEmpty() else limits
 
 
 def _within(rows: DataFrame, limits: DataFrame, inside: bool) -> DataFrame:
@@ -143,8 +171,7 @@ def _later_copies(items: DataFrame, feature: str) -> DataFrame:
 def first_wins(
     items: DataFrame,
     index,
-    cell_rows: int = HOT_CELL_ROWS,
-    finish_edges: int = FINISH_EDGES,
+    portions: Portions = Portions(),
 ) -> DataFrame:
     """Decide every image of ``items(keyword, image_id, <feature>)``: ``keyword, image_id, kept, removed_by``.
 
@@ -152,13 +179,11 @@ def first_wins(
 
     * images with equal features share their fate, bar that only the first of them can be
       kept, so that one stands for them;
-    * while a cell is hot, only its first ``cell_rows`` images are compared with each other; the
-      images settled that way remove their look-alikes from the rest, which is linear in the
-      rest, before the next, larger portion of the cell is compared.
+    * where a cell is crowded with look-alikes, only its first images, up to a number of pairs that
+      is set by ``portions``, are compared with each other; those settled that way remove their look-alikes from
+      the rest, which is linear in the rest, before the next portion with up to four times as many.
 
-    A large group of near copies thus shrinks to the few kept ones in the first round. How fast the
-    portion grows depends on that: fourfold while look-alikes keep going, else 64-fold, as
-    there is little to gain from small portions of a cell of different images.
+    A large group of near copies thus shrinks to the few kept ones in the first round.
     """
     items = items.select(*KEY, index.feature)
     feature = index.feature
@@ -167,8 +192,10 @@ def first_wins(
     active = assigned = index.assign(materialize(representatives))
     decided = None
     direct_edges = None
+    finish_edges = portions.finish_edges
+    budget = portions.pairs_per_image * active.count()
     while True:
-        limits = _hot_limits(active, cell_rows)
+        limits = _crowd_limits(active, index, portions.cell_rows, budget)
         if limits is None:
             edges = materialize(index.match(home_rows(active, feature), probe_rows(active, feature)))
             if decided is None:
@@ -200,8 +227,7 @@ def first_wins(
         fate_now = settled.unionByName(peeled.withColumn("kept", F.lit(False)))
         decided = fate_now if decided is None else decided.unionByName(fate_now)
         active = materialize(open_rows.join(peeled, KEY, "left_anti"))
-        left, gone = active.count(), peeled.count()
-        cell_rows *= 4 if gone * 10 > left else 64
+        budget *= 4
 
     if direct_edges is not None:
         candidates = direct_edges.join(decided.where("kept").select("keyword", F.col("image_id").alias("a")), ["keyword", "a"], "left_semi")
@@ -221,7 +247,7 @@ def first_wins(
     return fates.unionByName(copied)
 
 
-def greedy_dedup(nodes: DataFrame, edges: DataFrame, finish_edges: int = FINISH_EDGES) -> DataFrame:
+def greedy_dedup(nodes: DataFrame, edges: DataFrame, finish_edges: int = Portions.finish_edges) -> DataFrame:
     """First-wins resolution of given edges over ``nodes(keyword, image_id)``."""
     edges = materialize(edges.select("keyword", "a", "b"))
     states = materialize(settle(edges, None, finish_edges))

@@ -3,7 +3,7 @@
 Each index turns an image into cells: ``homes``, the cells it is stored in, and ``probes``, the
 cells in which an image similar to it may be stored (``assign``, cheap to evaluate again). Two images are compared only where a cell of
 one meets a cell of the other, and every similar pair ``a < b`` is reported exactly once: ``a`` at
-home, ``b`` probing. No index is approximate; a poor choice of cells only costs time.
+home, ``b`` probing (``match``, which also names the cell). No index is approximate; a poor choice of cells only costs time.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from weftloom.functions.vectors import hamming
 from weftloom.session import materialize
 
 KEY = ["keyword", "image_id"]
-EDGE_SCHEMA = "keyword string, a long, b long, score double"
+PAIR_SCHEMA = "keyword string, cell {cell}, a long, b long, score double"
 SLACK = 1e-9
 
 
@@ -75,9 +75,12 @@ def _compare_in_blocks(homes: DataFrame, probes: DataFrame, feature: str, block_
             first = order[np.r_[True, b[order][1:] != b[order][:-1]]]
             a, b, s = a[first], b[first], s[first]
         keyword = pa.array([table.column("keyword")[0].as_py()] * len(a), pa.string())
-        return pa.table({"keyword": keyword, "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "score": pa.array(s, pa.float64())})
+        cell = pa.array([table.column("cell")[0].as_py()] * len(a), table.schema.field("cell").type)
+        return pa.table({"keyword": keyword, "cell": cell, "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "score": pa.array(s, pa.float64())})
 
-    return rows.groupBy("keyword", "cell", "home_block", "probe_block").applyInArrow(compare, EDGE_SCHEMA)
+    return rows.groupBy("keyword", "cell", "home_block", "probe_block").applyInArrow(
+        compare, PAIR_SCHEMA.format(cell=homes.schema["cell"].dataType.simpleString())
+    )
 
 
 @dataclass(frozen=True)
@@ -144,7 +147,7 @@ class HammingIndex:
             taken = taken | near
         distance = hamming(F.col("a_feature"), F.col("b_feature"))
         found = pairs.where(distance <= self.max_distance).where(counts)
-        return found.select("keyword", "a", "b", distance.cast("double").alias("score"))
+        return found.select("keyword", "cell", "a", "b", distance.cast("double").alias("score"))
 
     def _match_blocks(self, homes: DataFrame, probes: DataFrame, nearest_only: bool) -> DataFrame:
         limit = self.max_distance
@@ -290,4 +293,4 @@ def similar_pairs(items: DataFrame, index) -> DataFrame:
     goes through ``greedy.first_wins``, which never lists the pairs inside a group of copies.
     """
     assigned = index.assign(items.where(F.col(index.feature).isNotNull()))
-    return index.match(home_rows(assigned, index.feature), probe_rows(assigned, index.feature))
+    return index.match(home_rows(assigned, index.feature), probe_rows(assigned, index.feature)).drop("cell")
