@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from weftloom.functions import urls
 from weftloom.operators.ordering import number_rows, running_max
-from weftloom.session import broadcast_if_small, checkpoint_root, materialize
+from weftloom.session import broadcast_if_small, materialize, scratch_path
 
+MAX_KEYWORDS = 1_000
 SMALL_FRONTIER = 10_000
 SMALL_FRONTIER_HOPS = 8
 
@@ -86,7 +85,7 @@ def crawl_reachable(
     round then costs more than the rows in it.
     """
     spark = seeds.sparkSession
-    table = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
+    table = scratch_path(spark)
     open_links = links.select("url", "link").distinct()
     if closed is not None:
         open_links = open_links.join(closed.select("url"), "url", "left_anti")
@@ -125,10 +124,14 @@ def keyword_url_pool(keywords: DataFrame, seeds: DataFrame, own: DataFrame, shar
     """
     seeded = seeds.where("keyword is not null").select("keyword").distinct()
     mine = own.join(seeded, "keyword", "left_semi").join(keywords, "keyword", "left_semi").select("keyword", "url")
-    # every keyword without seeds gets the whole shared crawl: the result is that product by definition
-    others = keywords.select("keyword").join(seeded, "keyword", "left_anti").withColumn("_all", F.lit(1))
-    rest = shared.select("url", F.lit(1).alias("_all")).join(broadcast_if_small(others), "_all").select("keyword", "url")
-    return mine.unionByName(rest)
+    # keywords are configuration; the others each get the whole shared crawl, spelt out row by row
+    others = keywords.select("keyword").join(seeded, "keyword", "left_anti").distinct().limit(MAX_KEYWORDS + 1).collect()
+    if len(others) > MAX_KEYWORDS:
+        raise ValueError(f"more than {MAX_KEYWORDS} keywords would each get the whole shared crawl")
+    if not others:
+        return mine
+    names = F.array(*[F.lit(row.keyword) for row in others])
+    return mine.unionByName(shared.select(F.explode(names).alias("keyword"), "url"))
 
 
 def cached_override(cached: DataFrame, scored: DataFrame, cached_keywords: DataFrame) -> DataFrame:

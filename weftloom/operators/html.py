@@ -1,6 +1,6 @@
 """Links and image URLs out of stored pages.
 
-The parser runs on Arrow batches and returns raw attribute values; resolving, filtering and
+The parser runs on Arrow batches and returns trimmed attribute values; resolving, filtering and
 distinct are column work in the JVM.
 """
 
@@ -30,7 +30,7 @@ class _Attributes(HTMLParser):
             for name, value in attrs:
                 if name in names and name not in seen:  # the first of repeated attributes counts
                     seen.add(name)
-                    self.found.append((name, value or ""))
+                    self.found.append((name, (value or "").strip()))
 
 
 def _attribute_values(pages: DataFrame, wanted: dict[str, tuple[str, ...]]) -> DataFrame:
@@ -58,7 +58,7 @@ def page_hrefs(pages: DataFrame) -> DataFrame:
     """Every ``<a href>`` as ``(page_id, url, pos, href)``, trimmed, duplicates kept."""
     found = _attribute_values(pages, {"a": ("href",)})
     return found.select("page_id", "url", F.posexplode("found").alias("pos", "f")).select(
-        "page_id", "url", "pos", F.regexp_replace("f.value", r"^\s+|\s+$", "").alias("href")
+        "page_id", "url", "pos", F.col("f.value").alias("href")
     )
 
 
@@ -66,7 +66,9 @@ def page_links(pages: DataFrame) -> DataFrame:
     """Web links of every page, resolved and normalised: ``(page_id, url, pos, link)``."""
     base = F.coalesce(F.col("final_url"), F.col("url")) if "final_url" in pages.columns else F.col("url")
     hrefs = page_hrefs(pages.withColumn("url", base)).where(urls.navigates(F.col("href")))
-    full = hrefs.withColumn("full", urls.resolve(F.col("url"), F.col("href"))).where(urls.is_web(F.col("full")))
+    # exploding a one-element array keeps the filter from repeating the expression
+    resolved = F.explode(F.array(urls.resolve(F.col("url"), F.col("href"))))
+    full = hrefs.select("page_id", "url", "pos", resolved.alias("full")).where(urls.is_web(F.col("full")))
     return full.select("page_id", "url", "pos", urls.normalize(F.col("full")).alias("link"))
 
 
@@ -74,12 +76,12 @@ def page_image_urls(pages: DataFrame) -> DataFrame:
     """Image candidates of every page, each once: ``(page_id, url, image_url)``."""
     found = _attribute_values(pages, {"img": (*IMG_ATTRIBUTES, "srcset"), "source": ("srcset",)})
     values = found.select("page_id", "url", F.explode("found").alias("f")).select(
-        "page_id", "url", "f.name", F.regexp_replace("f.value", r"^\s+|\s+$", "").alias("value")
+        "page_id", "url", "f.name", "f.value"
     )
     single = F.when((F.col("value") != "") & ~F.startswith("value", F.lit("data:")), F.array("value"))
     candidates = F.when(F.col("name") == "srcset", urls.srcset_urls(F.col("value"))).otherwise(single)
     resolved = values.select("page_id", "url", F.explode(candidates).alias("candidate")).select(
-        "page_id", "url", urls.resolve(F.col("url"), F.col("candidate")).alias("image_url")
+        "page_id", "url", F.explode(F.array(urls.resolve(F.col("url"), F.col("candidate")))).alias("image_url")
     )
     return resolved.where(urls.is_image(F.col("image_url"))).dropDuplicates(["page_id", "image_url"])
 

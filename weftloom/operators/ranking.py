@@ -8,7 +8,7 @@ from weftloom.functions.text import three_decimals, trimmed
 from weftloom.functions.vectors import as_double, cosine
 from weftloom.operators.ordering import number_rows
 from weftloom.params import PERSON_QUESTION
-from weftloom.session import broadcast_if_small
+from weftloom.session import broadcast_if_small, materialize
 
 
 def anchor_lookup(items: DataFrame, anchors: DataFrame) -> DataFrame:
@@ -25,7 +25,8 @@ def score_against_anchor(items: DataFrame, anchors: DataFrame) -> DataFrame:
     """Add ``score``; NULL where the item has no embedding."""
     joined = anchor_lookup(items, anchors)
     score = cosine(as_double(F.col("embedding")), as_double(F.col("anchor")))
-    return joined.withColumn("score", score).drop("anchor", "embedding")
+    # exploding a one-element array keeps a filter on the score from computing it a second time
+    return joined.select("*", F.explode(F.array(score)).alias("score")).drop("anchor", "embedding")
 
 
 def reference_sort(items: DataFrame, anchors: DataFrame, minimum: float) -> DataFrame:
@@ -34,7 +35,10 @@ def reference_sort(items: DataFrame, anchors: DataFrame, minimum: float) -> Data
 
 
 def with_ranks(scored: DataFrame) -> DataFrame:
-    """Rank from 1 by falling score within the keyword; equal scores keep image order."""
+    """Rank from 1 by falling score within the keyword; equal scores keep image order.
+
+    ``scored`` is read twice, so give a materialized table if it is costly.
+    """
     return number_rows(scored, ["keyword"], [F.col("score").desc(), F.col("image_id")], "rank")
 
 
@@ -85,7 +89,7 @@ def with_outcome(banded: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 def final_output(outcome: DataFrame) -> DataFrame:
     """The final images, ranked anew."""
-    return with_ranks(outcome.where("final").select("keyword", "image_id", "score"))
+    return with_ranks(materialize(outcome.where("final").select("keyword", "image_id", "score")))
 
 
 def filter_counts(outcome: DataFrame) -> DataFrame:

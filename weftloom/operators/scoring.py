@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from weftloom.functions.text import trimmed
 from weftloom.operators.ordering import number_rows
 from weftloom.params import CODE_FENCE_PATTERN
+from weftloom.session import materialize
 
 REPLY_SCHEMA = "array<struct<url: string, score: double>>"
 
@@ -78,7 +79,8 @@ def relevant_urls(scores: DataFrame, minimum: float = 0.6) -> DataFrame:
     """URLs of at least ``minimum``, ranked by falling score, equal scores by first appearance."""
     kept = scores.where(F.col("score") >= minimum)
     order = [F.col("score").desc(), F.col("batch"), F.col("item")]
-    return number_rows(kept.select("keyword", "url", "score", "batch", "item"), ["keyword"], order, "rank").select(
+    kept = materialize(kept.select("keyword", "url", "score", "batch", "item"))
+    return number_rows(kept, ["keyword"], order, "rank").select(
         "keyword", "url", "score", "rank"
     )
 

@@ -9,8 +9,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-BROADCAST_BYTES = 64 << 20
-
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
@@ -29,6 +27,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in this application's part of the shared folder, which may be deleted once it has ended."""
+    return f"{checkpoint_root(spark)}/weftloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -36,7 +39,7 @@ def materialize(df: DataFrame) -> DataFrame:
     Parquet table, it also gives later joins true sizes and prunes columns.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

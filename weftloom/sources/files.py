@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import BinaryType
 
 from weftloom.operators.ordering import number_rows
 from weftloom.params import IMAGE_SUFFIXES
@@ -54,10 +55,20 @@ def scan_shards(spark: SparkSession, root: str) -> DataFrame:
 
 
 def first_rows(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The first row of every key in the given order; a hot key is reduced before the shuffle."""
-    columns = [c for c in rows.columns if c not in key]
-    packed = rows.groupBy(*key).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("row"))
-    return packed.select(*key, *[F.col("row")[c].alias(c) for c in columns])
+    """The first row of every key in the given order (key and order together are unique).
+
+    Narrow rows are reduced before the shuffle, so a hot key is no burden. Rows with bytes in them are not
+    shuffled for this: later rows of repeated keys are found by key and order alone, and left out.
+    """
+    position = F.struct(*order)
+    if not any(isinstance(f.dataType, BinaryType) for f in rows.schema):
+        columns = [c for c in rows.columns if c not in key]
+        packed = rows.groupBy(*key).agg(F.min_by(F.struct(*columns), position).alias("row"))
+        return packed.select(*key, *[F.col("row")[c].alias(c) for c in columns])
+    places = rows.select(*key, *order)
+    repeated = places.groupBy(*key).agg(F.min(position).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = places.join(repeated, key).where(position > F.col("first")).select(*key, *order)
+    return rows.join(later, [*key, *order], "left_anti")
 
 
 def read_string_list(spark: SparkSession, path: str) -> DataFrame:

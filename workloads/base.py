@@ -13,11 +13,11 @@ class Registry:
     def __init__(self):
         self.queries, self.oracles = {}, {}
 
-    def __call__(self, sql: str | None = None):
+    def __call__(self, sql: str | None = None, name: str | None = None):
         def register(fn):
-            self.queries[fn.__name__] = fn
+            self.queries[name or fn.__name__] = fn
             if sql is not None:
-                self.oracles[fn.__name__] = sql
+                self.oracles[name or fn.__name__] = sql
             return fn
 
         return register

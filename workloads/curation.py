@@ -63,7 +63,7 @@ def _candidates(spark, sf) -> DataFrame:
 # --- features ---
 
 
-@query(f"WITH {BITS_SQL} SELECT image_id, bits FROM hashes")
+@query(f"WITH {BITS_SQL} SELECT image_id, bits FROM hashes", "median_bits")
 def median_bit_hash(spark, sf):
     return _hashed(spark, sf).select("image_id", "bits")
 
@@ -88,7 +88,7 @@ def histogram_correlation(spark, sf):
 @query("""
 WITH v AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * (vec_id + 2)) AS v FROM embeddings),
 u AS (SELECT vec_id, list_transform(v, lambda x: round(x / sqrt(list_dot_product(v, v)), 6)) AS v FROM v)
-SELECT vec_id AS image_id, unnest(range(64))::INTEGER AS place, unnest(v) AS value FROM u""")
+SELECT vec_id AS image_id, unnest(range(64))::INTEGER AS place, unnest(v) AS value FROM u""", "l2_normalize")
 def l2_normalized(spark, sf):
     stretched = F.transform(as_double(F.col("embedding")), lambda x: x * (F.col("image_id") + 2))
     unit = vectors(spark, sf).select("image_id", F.posexplode(l2_normalize(stretched)).alias("place", "value"))
@@ -382,7 +382,7 @@ def verdict_parse(spark, sf):
 
 @query(f"WITH {SCORED_SQL} SELECT keyword, image_id, rank::INTEGER AS rank, {NAME_SQL} AS output_name FROM final")
 def final_output(spark, sf):
-    final = ranking.final_output(materialize(_outcome(spark, sf)))
+    final = ranking.final_output(_outcome(spark, sf))
     return ranking.with_output_names(final).select("keyword", "image_id", "rank", "output_name")
 
 

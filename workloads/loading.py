@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from weftloom.operators import loader
 from weftloom.operators.ordering import number_rows
-from weftloom.session import checkpoint_root, materialize
+from weftloom.session import materialize, scratch_path
 from weftloom.sources import files
 from weftloom.streaming import load as streaming_load
 from workloads.base import Registry, table
@@ -133,7 +131,7 @@ def _shipped(spark, target, ledger):
 @query(SHIPPED_SQL)
 def batch_roundtrip(spark, sf):
     """All documents shipped in batches of 40, committed, and read back."""
-    root = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
+    root = scratch_path(spark)
     loader.load_batches(spark, _text_images(table(spark, sf, "documents")), f"{root}/ledger", f"{root}/data", 40)
     return _shipped(spark, f"{root}/data", f"{root}/ledger")
 
@@ -141,7 +139,7 @@ def batch_roundtrip(spark, sf):
 @query(SHIPPED_SQL)
 def stream_load(spark, sf):
     """The same through Structured Streaming, which runs until the table is used up."""
-    root = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
+    root = scratch_path(spark)
     schema = table(spark, sf, "documents").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
     streaming_load.stream_load(_text_images(stream), f"{root}/ledger", f"{root}/data", f"{root}/stream", 40).awaitTermination()
