@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
+from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from weftloom.functions import images
@@ -13,7 +13,7 @@ from weftloom.operators.greedy import Portions
 from weftloom.operators.simjoin import HammingIndex, StructureIndex, VectorIndex
 from weftloom.params import NOTEBOOK_PRESET, SCRIPT_PRESET
 
-RELAXED = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+RELAXED = settings(max_examples=6, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 
 
 def first_wins_loop(items, similar):

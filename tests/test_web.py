@@ -3,14 +3,14 @@
 from urllib.parse import urljoin, urlparse, urlunparse
 
 import pytest
-from hypothesis import HealthCheck, given, settings, strategies as st
+from hypothesis import HealthCheck, Phase, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from weftloom.functions import urls
 from weftloom.operators import crawl, html, scoring
 from weftloom.operators.ordering import number_rows, running_max
 
-RELAXED = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+RELAXED = settings(max_examples=5, deadline=None, phases=[Phase.explicit, Phase.generate], suppress_health_check=list(HealthCheck))
 
 
 def column(spark, values, expression):

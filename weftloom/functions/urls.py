@@ -61,20 +61,23 @@ def is_web(url: Column) -> Column:
 
 
 def _without_dots(absolute_path: Column) -> Column:
-    """Resolve ``.`` and ``..`` segments of a path that starts with a slash."""
+    """Resolve ``.`` and ``..`` segments of a path that starts with a slash.
+
+    The empty segment before that slash can be stepped out of like any other; the slash comes back in the end.
+    """
     segments = F.split(absolute_path, "/", -1)
-    last = F.element_at(segments, -1)
     kept = F.aggregate(
-        F.slice(segments, F.lit(2), F.size(segments) - 1),
+        segments,
         F.array().cast("array<string>"),
         lambda acc, s: F.when(s == ".", acc)
-        .when((s == "..") & (F.size(acc) > 0), F.slice(acc, F.lit(1), F.size(acc) - 1))
-        .when(s == "..", acc)
+        .when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
         .otherwise(F.concat(acc, F.array(s))),
     )
-    slash = F.when(last.isin(".", "..") & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit(""))
+    ends_in_folder = F.element_at(segments, -1).isin(".", "..")
+    joined = F.array_join(F.when(ends_in_folder, F.concat(kept, F.array(F.lit("")))).otherwise(kept), "/")
+    rooted = F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
     plain = ~absolute_path.rlike(r"(^|/)\.\.?(/|$)")
-    return F.when(plain, absolute_path).otherwise(F.concat(F.lit("/"), F.array_join(kept, "/"), slash))
+    return F.when(plain, absolute_path).otherwise(rooted)
 
 
 def resolve(base: Column, reference: Column) -> Column:
