@@ -286,6 +286,17 @@ def test_ssim_layer(spark):
     assert want[("k", 2)] == 1
 
 
+@pytest.mark.parametrize("index", [StructureIndex(0.92), StructureIndex(0.92, block_rows=2), StructureIndex(0.92, block_rows=1, large_block_rows=3)])
+def test_ssim_blocks_lose_no_pair(spark, index):
+    shapes = [picture(i) for i in range(20, 24)]
+    rng = np.random.default_rng(9)
+    noisy = [(shapes[i % 4].astype(int) + rng.integers(-4, 5, shapes[0].shape)).clip(0, 255).astype(np.uint8) for i in range(36)]
+    rows = pixel_rows(spark, [("k", i, p) for i, p in enumerate(noisy)])
+    grays = greedy.materialize(features.pixel_features(rows, ("gray",)))
+    got = simjoin.similar_pairs(grays, index).collect()
+    assert len(got) == 4 * 36 and all(r.a % 4 == r.b % 4 and r.a < r.b for r in got)
+
+
 def test_full_cascade_on_pictures(spark):
     a, b, c = picture(5), picture(6), picture(7)
     noisy = (b.astype(int) + np.random.default_rng(1).integers(-3, 4, b.shape)).clip(0, 255).astype(np.uint8)

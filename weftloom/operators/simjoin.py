@@ -43,14 +43,16 @@ def _spread(rows: DataFrame, own_blocks: str, other_blocks: str, own: str, other
     )
 
 
-def _compare_in_blocks(homes: DataFrame, probes: DataFrame, feature: str, block_rows: int, score, nearest_only: bool) -> DataFrame:
+def _compare_in_blocks(
+    homes: DataFrame, probes: DataFrame, feature: str, block_rows: int, score, nearest_only: bool, large_block_rows: int | None = None
+) -> DataFrame:
     """Compare home and probe rows of each cell in tasks of about ``block_rows`` × ``block_rows``.
 
-    A cell larger than that, however hot, is cut into blocks on both sides.
+    A cell larger than that, however hot, is cut into blocks on both sides. Every row is sent to all
+    blocks of the other side, so cells of many blocks may use ``large_block_rows`` instead.
     """
-    size = lambda rows, name: rows.groupBy("keyword", "cell").agg(
-        F.ceil(F.count("*") / block_rows).cast("int").alias(name)
-    )
+    rows_of = F.when(F.count("*") > 32 * block_rows, large_block_rows or block_rows).otherwise(block_rows)
+    size = lambda rows, name: rows.groupBy("keyword", "cell").agg(F.ceil(F.count("*") / rows_of).cast("int").alias(name))
     blocks = size(homes, "home_blocks").join(size(probes, "probe_blocks"), ["keyword", "cell"])
     columns = ["keyword", "cell", "image_id", F.col(feature).alias("feature"), "home_blocks", "probe_blocks"]
     left = homes.join(blocks, ["keyword", "cell"]).select(*columns)
@@ -254,6 +256,7 @@ class StructureIndex:
     threshold: float
     feature: str = "gray"
     block_rows: int = 32
+    large_block_rows: int = 256
 
     def assign(self, items: DataFrame) -> DataFrame:
         return _one_cell(items, self.feature)
@@ -265,7 +268,7 @@ class StructureIndex:
             rasters = images.stack_rasters(column)
             return images.structure_pairs(rasters[home], rasters[probe], earlier, threshold)
 
-        return _compare_in_blocks(homes, probes, self.feature, self.block_rows, score, nearest_only)
+        return _compare_in_blocks(homes, probes, self.feature, self.block_rows, score, nearest_only, self.large_block_rows)
 
 
 def unit_rows(column, centred: bool) -> np.ndarray:
