@@ -118,8 +118,8 @@ def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int
     return result
 
 
-def _crowd_limits(assigned: DataFrame, index, cell_rows: int, budget: float) -> DataFrame | None:
-    """``(keyword, cell, limit)`` for the large cells with far more than their part of ``budget`` similar pairs.
+def _crowd_limits(assigned: DataFrame, index, cell_rows: int, per_image: float) -> DataFrame | None:
+    """``(keyword, cell, limit)`` for the large cells with far more similar pairs than their part of ``per_image`` a row.
 
     In cells of more than ``cell_rows`` images about that many, drawn by hash, are compared to
     estimate their pairs. ``limit`` is an id up to which about the cell's part is expected. The draw
@@ -131,7 +131,7 @@ def _crowd_limits(assigned: DataFrame, index, cell_rows: int, budget: float) ->
     cells = large.count()
     if not cells:
         return None
-    cell_pairs = budget / cells
+    cell_pairs = per_image * assigned.count() / cells
     large = materialize(large.select("keyword", "cell", (F.lit(cell_rows) / F.col("count")).alias("share")))
     drawn = F.pmod(F.xxhash64("image_id"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
     draw = lambda rows: rows.join(large, ["keyword", "cell"]).where(drawn).drop("share")
@@ -193,9 +193,9 @@ def first_wins(
     decided = None
     direct_edges = None
     finish_edges = portions.finish_edges
-    budget = portions.pairs_per_image * active.count()
+    per_image = portions.pairs_per_image
     while True:
-        limits = _crowd_limits(active, index, portions.cell_rows, budget)
+        limits = _crowd_limits(active, index, portions.cell_rows, per_image)
         if limits is None:
             edges = materialize(index.match(home_rows(active, feature), probe_rows(active, feature)))
             if decided is None:
@@ -227,7 +227,7 @@ def first_wins(
         fate_now = settled.unionByName(peeled.withColumn("kept", F.lit(False)))
         decided = fate_now if decided is None else decided.unionByName(fate_now)
         active = materialize(open_rows.join(peeled, KEY, "left_anti"))
-        budget *= 4
+        per_image *= 4
 
     if direct_edges is not None:
         candidates = direct_edges.join(decided.where("kept").select("keyword", F.col("image_id").alias("a")), ["keyword", "a"], "left_semi")
