@@ -15,7 +15,7 @@ from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 CACHE_ENTRIES = 200_000  # encoded pre-tokens kept by a task; a full cache is emptied, results stay the same
 _TEXT_SLICE = 4_000_000  # characters of texts whose new pre-tokens are encoded together
@@ -157,8 +157,8 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "te
                 columns = [c for i, c in enumerate(part.columns) if i != at]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(ids, pa.binary())], [*keep, "ids"])
 
-    schema = source.drop("__text").schema.add("ids", "binary")
-    return source.mapInArrow(run, schema)
+    fields = [source.schema[name] for name in keep]
+    return source.mapInArrow(run, T.StructType([*fields, T.StructField("ids", T.BinaryType())]))
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -178,7 +178,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], keep: tuple[str, ...] = ("doc
                 columns = [part.column(name) for name in keep] + [part.column("ids"), pa.array(content, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, [*keep, "ids", "content"])
 
-    return source.mapInArrow(run, source.schema.add("content", "binary"))
+    return source.mapInArrow(run, T.StructType([*source.schema.fields, T.StructField("content", T.BinaryType())]))
 
 
 def digests(decoded: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftloom.llm import bpe, quality
+from weftloom.llm import bpe, langid, mixing, quality
 from weftloom.llm.jaccard_join import jaccard_components
 from workloads.base import Registry, table
 
@@ -31,6 +31,41 @@ def byte_bpe_ranks() -> tuple[dict[bytes, int], str]:
 
 _WORD = r"[^\x20\x09-\x0D]+"
 
+# --- 1: language identification ---
+
+
+@query()
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    predicted = langid.predict(docs, langid.train(docs))
+    return predicted.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
+# --- 2: mixing ---
+
+MIX_SQL = f"""
+volumes AS (SELECT source, count(*)::DOUBLE AS volume FROM documents GROUP BY source),
+rates AS MATERIALIZED (
+  SELECT source, sum(volume) OVER () * pow(volume, {mixing.EXPONENT}) / (sum(pow(volume, {mixing.EXPONENT})) OVER () * volume) AS rate
+  FROM volumes),
+ks AS (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 20)::BIGINT + 1)) AS k FROM rates),
+logs AS (SELECT source, k, k * ln(rate) - rate - sum(ln(greatest(k, 1))) OVER (PARTITION BY source ORDER BY k) AS p FROM ks),
+sums AS (SELECT source, sum(exp(p)) OVER (PARTITION BY source ORDER BY k) AS upto FROM logs),
+steps AS MATERIALIZED (SELECT source, list(upto) AS steps FROM sums GROUP BY source),
+mixed AS MATERIALIZED (
+  SELECT d.*, unnest(range(1, len(list_filter(steps, lambda p: p <= u)) + 1)) AS mix_copy
+  FROM (SELECT *, ('0x' || substr(md5('{mixing.SEED}:' || doc_id), 1, 13))::BIGINT::DOUBLE / {1 << 52} AS u FROM documents) d
+  JOIN steps s ON d.source IS NOT DISTINCT FROM s.source)"""
+
+
+@query(sql=f"""WITH {MIX_SQL}
+SELECT doc_id, source, mix_copy::INTEGER AS mix_copy,
+       ('0x' || substr(md5('{mixing.SEED}:order:' || doc_id || ':' || mix_copy), 1, 13))::BIGINT::DOUBLE / {1 << 52} AS mix_key
+FROM mixed""")
+def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.mix(table(spark, sf, "documents")).select("doc_id", "source", "mix_copy", "mix_key")
+
+
 # --- 3: quality rules ---
 
 BASE_SQL = rf"""
