@@ -44,6 +44,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables that ``materialize`` wrote for ``frames``, which nothing will read any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            if f"/weftloom-{spark.sparkContext.applicationId}/" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` narrow rows."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
