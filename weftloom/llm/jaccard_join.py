@@ -3,7 +3,8 @@
 The product counts for each pair of documents the shingles that they share. It is done in column blocks. The
 first block holds the few rarest shingles of each document, so many that two documents over the threshold must
 meet there; it is a Spark join on the shingle. The others are ranges of shingle hashes, accumulated pair by pair
-in numpy; a pair is given up as soon as its count can't reach the bound that the two sizes imply.
+in numpy; a pair is given up as soon as its count can't reach the bound that the two sizes imply. The first quarter of
+the hashes is done for all pairs before whole sets are gathered for those that are left.
 
 Links matter only through the components that they form. So equal sets are folded into one node first, every
 shingle of the first block links its nodes to one centre (two rounds), and then only pairs of nodes that
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weftloom.llm import words
 from weftloom.llm.graph import components
-from weftloom.session import materialize
+from weftloom.session import discard, materialize
 
 SHINGLE_WORDS = 5
 PERCENT = 75
@@ -130,28 +131,37 @@ def _prefixes(width: int, percent: int, hints):
     return run
 
 
-def _whole_sets(width: int):
+def _parts_of_sets(width: int, end: int):
+    """Size of each set and its shingles below ``end``, packed."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), 500):
                 part = batch.slice(start, 500)
-                packed = [own.tobytes() for _, own in _sets(part, width)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(packed, pa.binary())], ["node", "packed"])
+                n, packed = [], []
+                for _, own in _sets(part, width):
+                    n.append(len(own))
+                    packed.append(own[: np.searchsorted(own, np.uint64(end), "right")].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(packed, pa.binary())], ["node", "n", "packed"]
+                )
 
     return run
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
-    """Shared shingles of each pair of sorted sets; -1 where the pair was given up below its bound.
+def possible_pairs(
+    left: list[np.ndarray], right: list[np.ndarray], n_left: np.ndarray, n_right: np.ndarray, percent: int = PERCENT
+) -> np.ndarray:
+    """Which pairs of sets may link, as far as the given parts of them tell; whole sets tell it exactly.
 
-    The columns are taken in ranges of the hash. After each range, what is left of the smaller side bounds what
-    a pair can still gain.
+    ``left`` and ``right`` are sorted and hold all shingles of the two sets in one range; ``n_left`` and ``n_right`` are the whole sizes. The columns are
+    taken in ranges of the hash. After each, what is left of the smaller side bounds what a pair can still gain.
     """
-    n_left, n_right = np.array([len(x) for x in left]), np.array([len(x) for x in right])
     need, count = _required(n_left, n_right, percent), np.zeros(len(left), np.int64)
     seen_left, seen_right = np.zeros(len(left), np.int64), np.zeros(len(left), np.int64)
     alive = np.minimum(n_left, n_right) >= need
-    edges = np.array([(block << 64) // COLUMN_BLOCKS for block in range(1, COLUMN_BLOCKS)], np.uint64)
+    top = max((int(x[-1]) for side in (left, right) for x in side if len(x)), default=0) + 1
+    edges = np.array([block * top // COLUMN_BLOCKS for block in range(1, COLUMN_BLOCKS)], np.uint64)
     cut_left = [np.concatenate([[0], np.searchsorted(x, edges), [len(x)]]) for x in left]
     cut_right = [np.concatenate([[0], np.searchsorted(x, edges), [len(x)]]) for x in right]
     for block in range(COLUMN_BLOCKS):
@@ -173,7 +183,7 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray], percent: int = PER
         seen_left[pairs] += owners[: len(pairs)]
         seen_right[pairs] += owners[len(pairs) :]
         alive &= count + np.minimum(n_left - seen_left, n_right - seen_right) >= need
-    return np.where(alive, count, -1)
+    return alive
 
 
 def _linked(percent: int):
@@ -184,7 +194,8 @@ def _linked(percent: int):
                 left, right = (
                     [np.frombuffer(x.as_buffer(), np.uint64) for x in part.column(name)] for name in ("packed_a", "packed_b")
                 )
-                found = pa.array(overlaps(left, right, percent) >= 0)
+                n_left, n_right = (part.column(name).to_numpy() for name in ("n_a", "n_b"))
+                found = pa.array(possible_pairs(left, right, n_left, n_right, percent))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a").filter(found), part.column("b").filter(found)], ["a", "b"]
                 )
@@ -193,14 +204,22 @@ def _linked(percent: int):
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that are over the threshold, by their whole sets."""
+    """The pairs ``(a, b)`` that are over the threshold: by a quarter of the columns, then by all."""
     pairs = materialize(pairs.distinct())
-    ids = materialize(pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct())
-    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = materialize(docs.join(wanted, "doc_id", "left_semi").mapInArrow(_whole_sets(width), "node long, packed binary"))
-    side = lambda name: sets.select(F.col("node").alias(name), F.col("packed").alias(f"packed_{name}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b")
-    return materialize(joined.select("a", "b", "packed_a", "packed_b").mapInArrow(_linked(percent), "a long, b long").distinct())
+    for end in (1 << 62, (1 << 64) - 1):
+        ids = materialize(
+            pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+        )
+        wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        sets = materialize(
+            docs.join(wanted, "doc_id", "left_semi").mapInArrow(_parts_of_sets(width, end), "node long, n long, packed binary")
+        )
+        side = lambda name: sets.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("packed").alias(f"packed_{name}"))
+        joined = pairs.join(side("a"), "a").join(side("b"), "b")
+        left = materialize(joined.mapInArrow(_linked(percent), "a long, b long").distinct())
+        discard(pairs, ids, sets)
+        pairs = left
+    return pairs
 
 
 def _possible(percent: int, x: str, y: str) -> Column:
@@ -243,18 +262,18 @@ def jaccard_components(
     order = np.argsort(frequent)
     shared = spark.sparkContext.broadcast((frequent[order], hints.column("n").to_numpy()[order]))
 
-    nodes = (
+    # rows with one id and several texts
+    several = materialize(member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top"))
+    copies = materialize(member.where("doc_id <> node").join(several, "doc_id", "left_anti").select("doc_id", "n").distinct())
+    dropped = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
+    nodes = materialize(
         docs.mapInArrow(_prefixes(width, percent, shared), "doc_id long, n long, prefix array<long>, bits array<long>")
-        .where("n > 0").join(classes.select(F.col("node").alias("doc_id"), "n"), ["doc_id", "n"], "left_semi")
-        .withColumnRenamed("doc_id", "node")
+        .where("n > 0 and doc_id is not null").join(dropped, ["doc_id", "n"], "left_anti").withColumnRenamed("doc_id", "node")
     )
-    nodes = materialize(nodes)
     entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    met = entries.groupBy("shingle").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    met = entries.groupBy("shingle").count().where("count > 1")
     postings = materialize(entries.join(met.select("shingle"), "shingle"))
 
-    # rows with one id and several texts
-    several = member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top")
     links = materialize(member.join(several, "doc_id").select("a", F.col("node").alias("b")).distinct())
     label = None
     for turn in range(STAR_ROUNDS + 1):
