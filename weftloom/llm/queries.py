@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftloom.llm import bpe, chat, langid, mixing, quality
+from weftloom.llm import bpe, chat, langid, licenses, lm, mixing, quality, token_counts
 from weftloom.llm.jaccard_join import jaccard_components
 from weftloom.llm.topk import exact_top_k
 from workloads.base import Registry, table
@@ -109,6 +109,14 @@ def op3_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf, "documents")).select(*QUALITY_COLUMNS)
 
 
+# --- 4: license scans ---
+
+
+@query()
+def op4_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf, "documents"))
+
+
 # --- 5: chat formatting ---
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -143,6 +151,22 @@ def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf, "documents"), ranks, pattern), ranks))
 
 
+# --- 7: language-model scores ---
+
+
+@query()
+def op7_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf, "documents"))
+
+
+# --- 8: token counts ---
+
+
+@query()
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf, "documents"), *byte_bpe_ranks())
+
+
 # --- 9: n-gram Jaccard join ---
 
 

@@ -22,6 +22,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
+_PUNCTUATION = _SPACE.copy()  # besides white space, all ASCII characters but letters and digits
+_PUNCTUATION[:128] |= [not chr(c).isalnum() for c in range(128)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -60,7 +62,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), ends
 
 
-def _pieces(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _pieces(data: np.ndarray, ends: np.ndarray, blank: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Groups of (row, start, end) triples of at most about PIECE_BYTES; only a word longer than that exceeds it."""
     group, size = [], 0
     for row in range(len(ends) - 1):
@@ -68,11 +70,11 @@ def _pieces(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np
         while start < stop:
             end = stop
             if stop - start > PIECE_BYTES:
-                blank = np.flatnonzero(_SPACE[data[start : start + PIECE_BYTES]])
-                if len(blank):
-                    end = start + int(blank[-1]) + 1
+                gaps = np.flatnonzero(blank[data[start : start + PIECE_BYTES]])
+                if len(gaps):
+                    end = start + int(gaps[-1]) + 1
                 else:
-                    later = np.flatnonzero(_SPACE[data[start:stop]])
+                    later = np.flatnonzero(blank[data[start:stop]])
                     end = start + int(later[0]) + 1 if len(later) else stop
             if group and size + end - start > PIECE_BYTES:
                 yield np.array(group)
@@ -84,17 +86,23 @@ def _pieces(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np
         yield np.array(group)
 
 
-def word_hashes(column: pa.Array, lower: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Yield (rows, hashes) of consecutive words; rows ascend over all yields and may continue in the next one."""
+def word_hashes(
+    column: pa.Array, lower: bool = False, punctuation: bool = False
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Yield (rows, hashes, spans) of consecutive words; rows ascend over all yields and may continue in the next one.
+
+    Spans are the words' byte ranges in their texts. With ``punctuation``, ASCII punctuation separates words like white space.
+    """
+    blank = _PUNCTUATION if punctuation else _SPACE
     data, ends = text_buffers(column)
-    for group in _pieces(data, ends):
+    for group in _pieces(data, ends, blank):
         rows, starts, stops = group[:, 0], group[:, 1], group[:, 2]
         # a text's pieces and neighbouring texts lie side by side unless empty texts are between, which have no bytes
         low, high = int(starts[0]), int(stops[-1])
         part = data[low:high]
         if lower:
             part = _LOWER[part]
-        inside = ~_SPACE[part]
+        inside = ~blank[part]
         before = np.empty_like(inside)
         before[0], before[1:] = False, inside[:-1]
         before[starts - low] = False
@@ -108,29 +116,44 @@ def word_hashes(column: pa.Array, lower: bool = False) -> Iterator[tuple[np.ndar
         total = np.zeros(len(part) + 1, np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:-1], out=total[1:])
         hashes = (total[last] - total[first]) * down[first] + (last - first).astype(np.uint64) * _MULTIPLIERS[2]
-        yield rows[np.searchsorted(starts - low, first, "right") - 1], mix(hashes)
+        row = rows[np.searchsorted(starts - low, first, "right") - 1]
+        yield row, mix(hashes), np.stack([first, last], axis=1) + (low - ends[row])[:, None]
 
 
-def words_by_row(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, np.ndarray]]:
-    """Yield (row, hashes) for each row in order; rows without words get an empty array."""
+def words_and_spans(
+    column: pa.Array, lower: bool = False, punctuation: bool = False
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Yield (row, hashes, spans) for each row in order; rows without words get empty arrays."""
+    none = np.empty(0, np.uint64), np.empty((0, 2), np.int64)
     done, held_row, held = 0, None, []
-    for rows, hashes in word_hashes(column, lower):
+
+    def whole():
+        return held[0] if len(held) == 1 else tuple(np.concatenate(x) for x in zip(*held))
+
+    for rows, hashes, spans in word_hashes(column, lower, punctuation):
         cuts = np.flatnonzero(np.diff(rows)) + 1
-        for row, part in zip(rows[np.concatenate([[0], cuts])].tolist(), np.split(hashes, cuts)):
+        bounds = [0, *cuts.tolist(), len(rows)]
+        for row, i, j in zip(rows[bounds[:-1]].tolist(), bounds, bounds[1:]):
             if row == held_row:
-                held.append(part)
+                held.append((hashes[i:j], spans[i:j]))
                 continue
             if held_row is not None:
-                yield held_row, held[0] if len(held) == 1 else np.concatenate(held)
+                yield held_row, *whole()
                 done = held_row + 1
-            for blank in range(done, row):
-                yield blank, np.empty(0, np.uint64)
-            held_row, held, done = row, [part], row
+            for empty in range(done, row):
+                yield empty, *none
+            held_row, held, done = row, [(hashes[i:j], spans[i:j])], row
     if held_row is not None:
-        yield held_row, held[0] if len(held) == 1 else np.concatenate(held)
+        yield held_row, *whole()
         done = held_row + 1
-    for blank in range(done, len(column)):
-        yield blank, np.empty(0, np.uint64)
+    for empty in range(done, len(column)):
+        yield empty, *none
+
+
+def words_by_row(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, np.ndarray]]:
+    """Yield (row, hashes) for each row in order."""
+    for row, hashes, _ in words_and_spans(column, lower):
+        yield row, hashes
 
 
 def windows(hashes: np.ndarray, width: int) -> np.ndarray:
