@@ -222,13 +222,17 @@ def _verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     return pairs
 
 
+def _sizes_allow(percent: int, x: str, y: str) -> Column:
+    low, high = F.least(f"{x}.n", f"{y}.n"), F.greatest(f"{x}.n", f"{y}.n")
+    return F.lit(100) * low >= F.lit(percent) * high
+
+
 def _possible(percent: int, x: str, y: str) -> Column:
     """Size and position bounds of two postings of one shingle, taking it for the first that they share."""
     col = lambda side, name: F.col(f"{side}.{name}")
-    low, high = F.least(col(x, "n"), col(y, "n")), F.greatest(col(x, "n"), col(y, "n"))
-    need = F.ceil(F.lit(percent) * (low + high) / F.lit(100 + percent))
+    need = F.ceil(F.lit(percent) * (col(x, "n") + col(y, "n")) / F.lit(100 + percent))
     left = F.least(col(x, "n") - col(x, "pos"), col(y, "n") - col(y, "pos"))  # from this shingle on, itself included
-    return (F.lit(100) * low >= F.lit(percent) * high) & (left >= need)
+    return _sizes_allow(percent, x, y) & (left >= need)
 
 
 def jaccard_components(
@@ -301,11 +305,15 @@ def _placed(postings: DataFrame, label: DataFrame | None) -> DataFrame:
 
 
 def _star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Each node with the centre of its shingles; the centre is drawn by a hash, so nodes of a group tend to share one."""
-    drawn = F.struct(F.xxhash64("node", F.lit(turn)).alias("draw"), "node", "n", "pos", "component")
-    centres = placed.groupBy("shingle").agg(F.min(drawn).alias("c")).select("shingle", "c.node", "c.n", "c.pos", "c.component")
+    """Each node with the centres of its shingles: the least node, in later rounds the least by a hash.
+
+    The nodes of a group so tend to have the same centre, whichever shingles they share.
+    """
+    draw = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
+    drawn = F.struct(draw.alias("draw"), "node", "n", "component")
+    centres = placed.groupBy("shingle").agg(F.min(drawn).alias("c")).select("shingle", "c.node", "c.n", "c.component")
     x, y = placed.alias("x"), centres.alias("y")
-    apart = (F.col("x.component") != F.col("y.component")) & _possible(percent, "x", "y")
+    apart = (F.col("x.component") != F.col("y.component")) & _sizes_allow(percent, "x", "y")
     return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & apart).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
     )
