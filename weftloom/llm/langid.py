@@ -84,9 +84,9 @@ def subwords(texts: list[str | None], size: int = _PIECE) -> Iterator[tuple[np.n
         code = np.frombuffer((" ".join(lowered) + " ").encode("utf-32-le", "surrogatepass"), np.uint32)
         row = np.repeat(np.array([r for r, _ in group]), [len(x) + 1 for x in lowered])
         inside = letter[code]
-        keep = inside.copy()
-        keep[0] = True
-        keep[1:] |= inside[:-1]  # one blank after each word
+        keep = inside.copy()  # words with the blanks beside them; those between texts are two, so subwords end there
+        keep[1:] |= inside[:-1]
+        keep[:-1] |= inside[1:]
         code, row, inside = np.where(inside, code, 32)[keep].astype(np.uint64), row[keep], inside[keep]
         total, rows, buckets = np.zeros(len(code), np.uint64), [], []
         for n in range(1, 5):

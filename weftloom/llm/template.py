@@ -103,6 +103,8 @@ class _Parser:
         self.parts = []
         for i, part in enumerate(_TAG.split(source)):
             if i % 2 == 0:
+                if "{{" in part or "{%" in part:
+                    raise TemplateError(f"a tag isn't closed: {part!r}")
                 if part:
                     self.parts.append(("text", part))
             elif part.startswith("{#"):
