@@ -88,6 +88,8 @@ def subwords(texts: list[str | None], size: int = _PIECE) -> Iterator[tuple[np.n
         keep[1:] |= inside[:-1]
         keep[:-1] |= inside[1:]
         code, row, inside = np.where(inside, code, 32)[keep].astype(np.uint64), row[keep], inside[keep]
+        if not len(code):
+            continue
         total, rows, buckets = np.zeros(len(code), np.uint64), [], []
         for n in range(1, 5):
             if len(code) < n:
