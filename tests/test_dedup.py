@@ -198,12 +198,6 @@ def test_unreadable_embeddings(spark):
     assert got == {("x", 1): None, ("x", 3): 1, ("y", 4): None, ("y", 5): None}
 
 
-def test_gate_skips_large_keywords(spark):
-    rows = [("small", 1, 7), ("small", 2, 7), ("large", 3, 7), ("large", 4, 7), ("large", 5, 7)]
-    got = decisions(dedup.run_layer(hash_items(spark, rows), Layer("hash", HammingIndex(8), max_images=2)))
-    assert got == {("small", 1): None, ("small", 2): 1, ("large", 3): None, ("large", 4): None, ("large", 5): None}
-
-
 def test_review_rule(spark):
     """3 is removed by 1, before 2 would flag it; 5 is removed by 4, but after 2 has flagged it."""
     band = edges_frame(spark, [("k", 2, 3, 0.85), ("k", 2, 5, 0.9), ("k", 3, 6, 0.9), ("k", 1, 6, 0.81)])

@@ -3,6 +3,8 @@
 import json
 import os
 import struct
+import subprocess
+import sys
 import zlib
 
 import pytest
@@ -14,6 +16,8 @@ from weftloom.plans import curate
 from weftloom.sources import files, sinks
 from weftloom.streaming.load import image_stream, stream_load
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def png(width, height, value=128):
     def chunk(kind, data):
@@ -123,7 +127,7 @@ def test_failed_verification_leaves_rows_pending(spark):
     verified = loader.verified_batches(assigned, stored)
     assert {(r.keyword, r.batch_id) for r in verified.collect()} == {("k", 1), ("k", 3), ("j", 1)}
     rows = loader.commit_rows(assigned, verified)
-    assert {(r.keyword, r.filename) for r in rows.collect()} == {("k", "a"), ("k", "b"), ("j", "a")}
+    assert {(r.keyword, r.filename) for r in rows.collect()} == {("k", "a"), ("k", "b"), ("k", "d"), ("j", "a")}
 
 
 def test_reused_number_replaces_its_batch(spark, tmp_path):
@@ -188,7 +192,7 @@ def test_ranked_sink_drops_stale_ranks(spark, tmp_path):
     assert {r.keyword: r["count"] for r in spark.read.parquet(root).groupBy("keyword").count().collect()} == {"a": 1, "b": 2}
 
 
-def test_report_parts_make_one_document(spark, tmp_path):
+def test_report_pages_are_documents(spark, tmp_path):
     rows = [("k", i, 0.9 - i / 100, i) for i in range(1, 8)]
     named = ranking.with_output_names(spark.createDataFrame(rows, "keyword string, image_id long, score double, rank int"), ".webp")
     cards = reporting.report_cards(named)
@@ -198,12 +202,13 @@ def test_report_parts_make_one_document(spark, tmp_path):
     whole = {r.keyword: r.html for r in reporting.report_html(cards, anchors, 100).collect()}
     parts = reporting.report_html(cards, anchors, 3)
     assert parts.where("keyword = 'k'").count() == 3
-    joined = "".join(r.html for r in parts.where("keyword = 'k'").orderBy("part").collect())
-    assert joined == whole["k"] and joined.count('class="card"') == 7 and "7 matching images" in joined
-    assert "0 matching images" in whole["none"]
+    pages = [r.html for r in parts.where("keyword = 'k'").orderBy("part").collect()]
+    assert all(p.startswith("<!DOCTYPE html>") and p.endswith("</table>\n") for p in [*pages, *whole.values()])
+    assert [p.count("<tr><td>") for p in pages] == [3, 3, 1] and whole["k"].count("<tr><td>") == 7
+    assert "images 4 to 6 of 7, page 2 of 3" in pages[1] and "of 0, page 1 of 1" in whole["none"]
     sinks.write_reports(parts, str(tmp_path))
     stored = spark.read.text(str(tmp_path), wholetext=True).where("keyword = 'k'").orderBy("part").collect()
-    assert "".join(r.value for r in stored).replace("\n", "") == whole["k"].replace("\n", "")
+    assert [r.value.strip() for r in stored] == [p.strip() for p in pages]
 
 
 def test_stored_pages_to_scoring_requests(spark):
@@ -220,6 +225,47 @@ def test_stored_pages_to_scoring_requests(spark):
     assert request == "0. http://h.example/\n1. http://h.example/a\n2. http://h.example/b\n3. http://h.example/secret"
 
 
+ROBOTS = "host string, policy string, pos int, allow boolean, prefix string, crawl_delay double"
+
+
+def test_crawl_ends_at_what_is_forbidden_no_html_or_elsewhere(spark):
+    pages = spark.createDataFrame(
+        [(1, "http://h.example/", None, "text/html", '<a href="/a"><a href="/png"><a href="/moved"><a href="/no">'),
+         (2, "http://h.example/a", None, "text/html", '<a href="/"><a href="/b">'), (3, "http://h.example/png", None, "image/png", '<a href="/x">'),
+         (4, "http://h.example/moved", "http://h.example/new/place", "text/html", '<a href="here">'),
+         (5, "http://h.example/no", None, "text/html", '<a href="/hidden">'), (6, "http://own.example/no/seed", None, "text/html", '<a href="/y">'),
+         (7, "http://own.example/fine", None, "text/html", '<a href="/z">')],
+        "page_id long, url string, final_url string, content_type string, html string",
+    )
+    seeds = spark.createDataFrame(
+        [(None, "http://h.example/"), ("own", "http://own.example/no/seed"), ("own", "http://own.example/fine")], "keyword string, url string"
+    )
+    robots = spark.createDataFrame([(h, "rules", 0, False, p, None) for h, p in [("h.example", "/no"), ("own.example", "/no")]] +
+                                   [("h.example", "rules", 1, False, "", None)], ROBOTS)
+    keywords = spark.createDataFrame([("own",), ("k",), ("l",)], "keyword string")
+    got = {r.keyword: [line.split(". ")[1].removeprefix("http://") for line in r.request.split("\n")] for r in curate.acquire(pages, seeds, robots, keywords).collect()}
+    shared = ["h.example/", "h.example/a", "h.example/b", "h.example/moved", "h.example/new/here", "h.example/no", "h.example/png"]
+    assert got == {"k": shared, "l": shared, "own": ["own.example/fine", "own.example/no/seed", "own.example/z"]}
+
+
+def test_media_type(spark):
+    starts = {b"\x89PNG\r\n\x1a\n123456": "image/png", b"RIFF\x01\x02\x03\x04WEBPVP8 ": "image/webp", b"\xff\xd8\xff": "image/jpeg", b"": "image/jpeg"}
+    frame = spark.createDataFrame([(bytearray(k),) for k in starts], "content binary")
+    assert [r[0] for r in frame.select(ranking.media_type(F.col("content"))).collect()] == list(starts.values())
+
+
+def test_workers_get_the_package_from_the_driver(tmp_path):
+    """A session handed in by a program that runs elsewhere, whose workers don't find the repository."""
+    program = (
+        "import sys; from pyspark.sql import SparkSession; s = SparkSession.builder.master('local[2]')"
+        f".config('spark.checkpoint.dir', '{tmp_path}/shared').config('spark.ui.enabled', 'false').getOrCreate(); sys.path.insert(0, {ROOT!r}); "
+        "import __spark_entry__ as e; print('rows', e.queries()['image_urls'](s, '/root/testdata/sf0.001').count()); s.stop()"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", program], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "rows " in out.stdout, out.stderr[-2000:]
+
+
 def test_no_checkpoint_folder_off_a_local_master(spark, monkeypatch):
     from weftloom import session
 

@@ -8,9 +8,8 @@ from weftloom.functions import urls
 from weftloom.operators.ordering import number_rows, running_max
 from weftloom.session import broadcast_if_small, materialize, scratch_path
 
-MAX_KEYWORDS = 1_000
 SMALL_FRONTIER = 10_000
-SMALL_FRONTIER_HOPS = 8
+SMALL_FRONTIER_HOPS = 2
 
 
 def internal_links(links: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -36,7 +35,11 @@ def robots_allowed(targets: DataFrame, robots: DataFrame) -> DataFrame:
     asked = targets.withColumn("host", urls.host(F.col("url"))).withColumn(
         "_local", F.when(F.startswith(local, F.lit("/")), local).otherwise(F.concat(F.lit("/"), local))
     )
-    matching = F.filter("rules", lambda r: r["prefix"].isNotNull() & F.startswith(F.col("_local"), r["prefix"]))
+    matching = F.filter(
+        "rules",
+        # an empty Disallow forbids nothing
+        lambda r: r["prefix"].isNotNull() & (r["allow"] | (r["prefix"] != "")) & F.startswith(F.col("_local"), r["prefix"]),
+    )
     verdict = (
         F.when(F.col("policy").isin("deny_all", "unread"), F.lit(False))
         .when(F.col("policy") == "allow_all", F.lit(True))
@@ -72,13 +75,11 @@ def crawl_reachable(
     seeds: DataFrame,
     links: DataFrame,
     closed: DataFrame | None = None,
-    max_pages: int | None = None,
 ) -> DataFrame:
     """URLs reachable from ``seeds(url)`` over ``links(url, link)``: ``(url, depth)``.
 
     ``closed(url)`` are URLs that are visited but not expanded (disallowed, failed or not
-    HTML). With ``max_pages`` the first pages by depth, then URL, are kept, and no depth far
-    beyond the cap is explored.
+    HTML). The crawl goes on until nothing new is found.
 
     Every round appends to one table of visited URLs, so that plans stay the same size however deep the
     site is. A large frontier advances by one depth a round, a small one by several, as a
@@ -95,26 +96,24 @@ def crawl_reachable(
     schema = "url string, depth int"
     read = lambda path: spark.read.schema(schema).parquet(path)
     depth, rounds = 0, 0
-    count = frontier_size = read(f"{table}/round=0").count()
-    while frontier_size and (max_pages is None or count < max_pages):
+    frontier_size = read(f"{table}/round=0").count()
+    while frontier_size:
         hops = 1 if frontier_size > SMALL_FRONTIER else SMALL_FRONTIER_HOPS
         visited = read(table)
         step = read(f"{table}/round={rounds}").where(F.col("depth") == depth).select("url")
         found = None
         for hop in range(1, hops + 1):
-            step = open_links.join(step, "url", "left_semi").select(F.col("link").alias("url"))  # at most all links
+            # at most all links, each target once and none that was there before
+            step = open_links.join(step, "url", "left_semi").select(F.col("link").alias("url")).distinct()
+            step = step.join(visited.select("url"), "url", "left_anti")
             reached = step.withColumn("depth", F.lit(depth + hop))
             found = reached if found is None else found.unionByName(reached)
         new = found.groupBy("url").agg(F.min("depth").alias("depth")).join(visited.select("url"), "url", "left_anti")
         rounds, depth = rounds + 1, depth + hops
         new.write.parquet(f"{table}/round={rounds}")
         written = read(f"{table}/round={rounds}")
-        added, frontier_size = written.agg(F.count("*"), F.count_if(F.col("depth") == depth)).first()
-        count += added
-    visited = read(table)
-    if max_pages is not None and count > max_pages:
-        visited = visited.orderBy("depth", "url").limit(max_pages)
-    return visited
+        frontier_size = written.where(F.col("depth") == depth).count()
+    return read(table)
 
 
 def keyword_url_pool(keywords: DataFrame, seeds: DataFrame, own: DataFrame, shared: DataFrame) -> DataFrame:
@@ -124,14 +123,10 @@ def keyword_url_pool(keywords: DataFrame, seeds: DataFrame, own: DataFrame, shar
     """
     seeded = seeds.where("keyword is not null").select("keyword").distinct()
     mine = own.join(seeded, "keyword", "left_semi").join(keywords, "keyword", "left_semi").select("keyword", "url")
-    # keywords are configuration; the others each get the whole shared crawl, spelt out row by row
-    others = keywords.select("keyword").join(seeded, "keyword", "left_anti").distinct().limit(MAX_KEYWORDS + 1).collect()
-    if len(others) > MAX_KEYWORDS:
-        raise ValueError(f"more than {MAX_KEYWORDS} keywords would each get the whole shared crawl")
-    if not others:
-        return mine
-    names = F.array(*[F.lit(row.keyword) for row in others])
-    return mine.unionByName(shared.select(F.explode(names).alias("keyword"), "url"))
+    # the others each get the whole shared crawl, spelt out row by row; their names travel as one row
+    others = keywords.select("keyword").join(seeded, "keyword", "left_anti")
+    names = others.agg(F.collect_set("keyword").alias("names"))
+    return mine.unionByName(shared.join(F.broadcast(names)).select(F.explode("names").alias("keyword"), "url"))
 
 
 def cached_override(cached: DataFrame, scored: DataFrame, cached_keywords: DataFrame) -> DataFrame:

@@ -22,13 +22,11 @@ class Layer:
     ``unreadable`` says what a NULL feature means: ``drop`` (the image vanishes, neither kept nor
     removed), ``flat`` (an all-zero histogram) or ``pass`` (dropped, unless the whole keyword
     has no feature, in which case it passes through).
-    ``max_images`` skips keywords that have more candidates than that.
     """
 
     name: str
     index: object
     unreadable: str = "drop"
-    max_images: int | None = None
     portions: Portions = Portions()
 
 
@@ -36,7 +34,7 @@ def standard_layers(params: CurationParams = SCRIPT_PRESET) -> list[Layer]:
     return [
         Layer("hash", HammingIndex(params.hash_distance, "bits")),
         Layer("histogram", VectorIndex(params.histogram_min, "hist", centred=True), "flat"),
-        Layer("structure", StructureIndex(params.ssim_high, "gray"), max_images=params.ssim_max_images),
+        Layer("structure", StructureIndex(params.ssim_high, "gray")),
         Layer("embedding", VectorIndex(params.embedding_min, "embedding"), "pass"),
     ]
 
@@ -45,14 +43,6 @@ def _all_kept(items: DataFrame) -> DataFrame:
     return items.select(*KEY, F.lit(True).alias("kept"), F.lit(None).cast("long").alias("removed_by"))
 
 
-def layer_gate(items: DataFrame, max_images: int) -> tuple[DataFrame, DataFrame]:
-    """Split into keywords of at most ``max_images`` images and the others, which skip the layer."""
-    sizes = items.groupBy("keyword").count()
-    counted = items.join(sizes, "keyword")
-    small = F.col("count") <= max_images
-    return counted.where(small).drop("count"), counted.where(~small).drop("count")
-
-
 def _with_flat_histograms(items: DataFrame, layer: Layer) -> DataFrame:
     """Histogram layer. A histogram without variance correlates perfectly with every other.
 
@@ -86,10 +76,6 @@ def run_layer(items: DataFrame, layer: Layer) -> DataFrame:
     """Decisions of one layer over ``items(keyword, image_id, <features>)``: ``DECISIONS`` columns."""
     feature = layer.index.feature
     present = F.col(feature).isNotNull()
-    skipped = None
-    if layer.max_images is not None:
-        items, skipped = layer_gate(items, layer.max_images)
-
     if layer.unreadable == "flat":
         result = _with_flat_histograms(items, layer)
     elif isinstance(layer.index, VectorIndex):
@@ -100,8 +86,6 @@ def run_layer(items: DataFrame, layer: Layer) -> DataFrame:
     if layer.unreadable == "pass":
         readable = items.groupBy("keyword").agg(F.bool_or(present).alias("any")).where("not any")
         result = result.unionByName(_all_kept(items.join(readable, "keyword", "left_semi")))
-    if skipped is not None:
-        result = result.unionByName(_all_kept(skipped))
     return result.withColumn("layer", F.lit(layer.name))
 
 

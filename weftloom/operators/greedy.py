@@ -30,7 +30,7 @@ class Portions:
 
     cell_rows: int = 512
     pairs_per_image: float = 64.0
-    finish_edges: int = 2_000_000
+    finish_edges: int = 100_000
 
 
 STATE_SCHEMA = "keyword string, image_id long, state string"

@@ -6,6 +6,7 @@ distinct are column work in the JVM.
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -15,6 +16,10 @@ from weftloom.functions import urls
 from weftloom.params import IMG_ATTRIBUTES
 
 
+# The parser gives up a page at marked sections that are neither CDATA nor conditional; they are read as text.
+_BROKEN_DECLARATION = re.compile(r"<!\[(?!CDATA\[|(?:if|else|endif)\b[^>]*\]>)", re.I)
+
+
 class _Attributes(HTMLParser):
     """Collects attribute values of the wanted tags, in document order."""
 
@@ -41,7 +46,7 @@ def _attribute_values(pages: DataFrame, wanted: dict[str, tuple[str, ...]]) -> D
             rows = []
             for html in batch.column("html").to_pylist():
                 parser = _Attributes(wanted)
-                parser.feed(html)
+                parser.feed(_BROKEN_DECLARATION.sub("&lt;![", html))
                 parser.close()
                 rows.append([{"name": n, "value": v} for n, v in parser.found])
             kind = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
@@ -63,11 +68,16 @@ def page_hrefs(pages: DataFrame) -> DataFrame:
 
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Web links of every page, resolved and normalised: ``(page_id, url, pos, link)``."""
+    """Web links of every page, resolved and normalised: ``(page_id, url, pos, link)``.
+
+    ``url`` is the one that was asked for; links are resolved against ``final_url`` where a page was redirected.
+    """
     base = F.coalesce(F.col("final_url"), F.col("url")) if "final_url" in pages.columns else F.col("url")
-    hrefs = page_hrefs(pages.withColumn("url", base)).where(urls.navigates(F.col("href")))
+    both = F.to_json(F.struct(base.alias("base"), F.col("url").alias("asked")))
+    found = page_hrefs(pages.withColumn("url", both)).where(urls.navigates(F.col("href")))
+    hrefs = found.withColumn("base", F.get_json_object("url", "$.base")).withColumn("url", F.get_json_object("url", "$.asked"))
     # exploding a one-element array keeps the filter from repeating the expression
-    resolved = F.explode(F.array(urls.resolve(F.col("url"), F.col("href"))))
+    resolved = F.explode(F.array(urls.resolve(F.col("base"), F.col("href"))))
     full = hrefs.select("page_id", "url", "pos", resolved.alias("full")).where(urls.is_web(F.col("full")))
     return full.select("page_id", "url", "pos", urls.normalize(F.col("full")).alias("link"))
 

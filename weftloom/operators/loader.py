@@ -63,13 +63,8 @@ def verified_batches(assigned: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def commit_rows(assigned: DataFrame, verified: DataFrame) -> DataFrame:
-    """Ledger rows of verified batches, up to the first gap: a failed batch and all after it stay pending.
-
-    Numbers advance only after a batch is verified, so what follows a failed one is numbered again.
-    """
-    numbers = assigned.select("keyword", "batch_id").distinct()
-    failed = numbers.join(verified, ["keyword", "batch_id"], "left_anti").groupBy("keyword").agg(F.min("batch_id").alias("gap"))
-    done = assigned.join(failed, "keyword", "left").where("gap is null or batch_id < gap")
+    """Ledger rows of all verified batches; the images of a failed one stay pending, and its number is not used again."""
+    done = assigned.join(broadcast_if_small(verified.select("keyword", "batch_id")), ["keyword", "batch_id"], "left_semi")
     return done.select("keyword", "filename", "batch_id", F.current_timestamp().alias("committed_at"))
 
 

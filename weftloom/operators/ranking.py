@@ -65,10 +65,20 @@ def person_bands(scored: DataFrame, keep_min: float = 0.75, review_min: float =
     return scored.withColumn("band", band)
 
 
+def media_type(content: Column) -> Column:
+    """By the first bytes: PNG, WebP, otherwise JPEG."""
+    start = F.hex(F.substring(content, 1, 12))
+    return (
+        F.when(F.startswith(start, F.lit("89504E470D0A1A0A")), "image/png")
+        .when(F.startswith(start, F.lit("52494646")) & F.endswith(start, F.lit("57454250")), "image/webp")
+        .otherwise("image/jpeg")
+    )
+
+
 def verdict_requests(banded: DataFrame, images: DataFrame) -> DataFrame:
     """Request bodies for the review band only; bytes are sent as they are stored."""
     wanted = banded.where("band = 'review'").select("keyword", "image_id")
-    picture = F.concat(F.lit("data:image/jpeg;base64,"), F.base64("image_bytes"))
+    picture = F.concat(F.lit("data:"), media_type(F.col("image_bytes")), F.lit(";base64,"), F.base64("image_bytes"))
     body = F.to_json(F.struct(F.lit(PERSON_QUESTION).alias("text"), picture.alias("image_url")))
     return images.join(wanted, ["keyword", "image_id"], "left_semi").select("keyword", "image_id", body.alias("request"))
 

@@ -13,9 +13,9 @@ PERSON_QUESTION = "Does this image contain a visible person? Respond only YES or
 
 @dataclass(frozen=True)
 class CurationParams:
+    # Fixed values as well: the published defaults.
     min_image_dim: int = 500
     batch_size: int = 300
-    max_crawl_pages: int = 2000
     score_batch_size: int = 50
     score_min: float = 0.6
     hash_distance: int = 8
@@ -26,8 +26,7 @@ class CurationParams:
     rank_min: float = 0.55
     keep_min: float = 0.75
     review_min: float = 0.50
-    ssim_max_images: int | None = None  # None: the SSIM layer is never skipped
 
 
 SCRIPT_PRESET = CurationParams()
-NOTEBOOK_PRESET = CurationParams(rank_min=0.70, ssim_max_images=300)
+NOTEBOOK_PRESET = CurationParams(rank_min=0.70)

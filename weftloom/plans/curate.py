@@ -14,16 +14,32 @@ from weftloom.session import materialize
 def acquire(
     pages: DataFrame, seeds: DataFrame, robots: DataFrame, keywords: DataFrame, params: CurationParams = SCRIPT_PRESET
 ) -> DataFrame:
-    """From stored pages to the scoring requests of every keyword that shares the crawl."""
-    links = html.page_links(pages)
+    """From stored pages to the scoring requests of every keyword.
+
+    ``seeds(url)`` start the shared crawl; with a ``keyword`` column, seeds that name one start a crawl of that keyword's
+    own, which replaces the shared one for it. ``pages`` may have ``final_url`` and ``content_type``: links belong to the URL that was
+    asked for, and only pages answered as HTML are expanded. Whatever robots rules forbid, seeds included, is visited but not
+    expanded.
+    """
+    if "keyword" not in seeds.columns:
+        seeds = seeds.withColumn("keyword", F.lit(None).cast("string"))
     own = urls.normalize(F.col("url")).alias("url")
-    internal = crawl.internal_links(links, seeds).select(own, "link").distinct()
-    targets = internal.select(F.col("link").alias("url")).distinct()
-    closed = crawl.robots_allowed(targets, robots).where("not allowed")
-    starts = seeds.select(own)
-    reached = crawl.crawl_reachable(starts, internal, closed, params.max_crawl_pages)
-    nobody = F.lit(None).cast("string").alias("keyword")
-    pool = crawl.keyword_url_pool(keywords, seeds.select(nobody, "url"), reached.select(nobody, "url").limit(0), reached)
+    readable = crawl.expandable(pages) if "content_type" in pages.columns else pages
+    links = materialize(html.page_links(readable).select(own, "link").distinct())
+    starts = materialize(seeds.select("keyword", own).distinct())
+    asked = links.select("url").unionByName(starts.select("url")).distinct()
+    closed = materialize(crawl.robots_allowed(asked, robots).where("not allowed").select("url"))
+
+    def reached(start: DataFrame) -> DataFrame:
+        return crawl.crawl_reachable(start, crawl.internal_links(links, start), closed).select("url")
+
+    shared = reached(starts.where("keyword is null").select("url"))
+    # a crawl for each keyword that has seeds; these are named in the configuration
+    mine = shared.select(F.lit(None).cast("string").alias("keyword"), "url").limit(0)
+    for row in starts.where("keyword is not null").select("keyword").distinct().toLocalIterator():
+        found = reached(starts.where(F.col("keyword") == row.keyword).select("url"))
+        mine = mine.unionByName(found.select(F.lit(row.keyword).alias("keyword"), "url"))
+    pool = crawl.keyword_url_pool(keywords, starts, mine, shared)
     numbered = pool.withColumn("pos", F.col("url"))
     return scoring.score_requests(scoring.score_batches(numbered, params.score_batch_size))
 

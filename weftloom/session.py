@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,13 +16,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master, where one machine is the whole cluster, may fall back to a
-    temporary folder; elsewhere the setting is required.
+    Where it is unset, a folder is set only if this one machine is all there is (master ``local`` or ``local[n]``).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="weftloom-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -27,6 +29,22 @@ def checkpoint_root(spark: SparkSession) -> str:
     return folder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package and its neighbours, once in an application, as a zip from the driver."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if getattr(context, "weftloom_shipped", False) or not root.is_dir():
+        return
+    folder = tempfile.mkdtemp(prefix="weftloom-")  # the driver serves the file from here
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder, "weftloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for package in ("weftloom", "workloads"):
+            for file in sorted((root / package).rglob("*.py")):
+                out.write(file, file.relative_to(root))
+    context.addPyFile(str(archive))
+    context.weftloom_shipped = True
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new path in this application's part of the shared folder, which may be deleted once it has ended."""
     return f"{checkpoint_root(spark)}/weftloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"

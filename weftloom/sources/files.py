@@ -12,7 +12,7 @@ SHARD_SCHEMA = "image_bytes binary, filename string, keyword string, batch_id in
 MANIFEST_SCHEMA = (
     "keyword string, uploaded array<string>, batch_count int, total_count int, last_updated timestamp"
 )
-PAGE_SCHEMA = "page_id bigint, url string, html string"
+PAGE_SCHEMA = "page_id bigint, url string, html string, final_url string, content_type string, status int"
 
 
 def scan_images(spark: SparkSession, root: str, suffixes: tuple[str, ...] = IMAGE_SUFFIXES) -> DataFrame:

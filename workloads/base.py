@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftloom.functions import urls
+from weftloom.session import ship_package
 
 
 class Registry:
@@ -15,7 +18,12 @@ class Registry:
 
     def __call__(self, sql: str | None = None, name: str | None = None):
         def register(fn):
-            self.queries[name or fn.__name__] = fn
+            @functools.wraps(fn)
+            def shipped(spark, sf):
+                ship_package(spark)
+                return fn(spark, sf)
+
+            self.queries[name or fn.__name__] = shipped
             if sql is not None:
                 self.oracles[name or fn.__name__] = sql
             return fn

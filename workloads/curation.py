@@ -45,18 +45,19 @@ def _histograms(spark, sf) -> DataFrame:
     return features.byte_histograms(texts(spark, sf), "content")
 
 
-def _anchors(spark, sf) -> DataFrame:
-    """The first vector of each label is its anchor; labels 7 and up have none."""
-    return _all_anchors(spark, sf).where("keyword < '7'")
+def _some_anchors(spark, sf) -> DataFrame:
+    """Anchors of the labels below 7 alone, for queries about keywords without one."""
+    return _anchors(spark, sf).where("keyword < '7'")
 
 
-def _all_anchors(spark, sf) -> DataFrame:
+def _anchors(spark, sf) -> DataFrame:
+    """The first vector of each label is its anchor."""
     return vectors(spark, sf).groupBy("keyword").agg(F.min_by("embedding", "image_id").alias("embedding"))
 
 
 def _candidates(spark, sf) -> DataFrame:
     """Vectors to rank: all but the anchors, which are not images of the corpus."""
-    firsts = vectors(spark, sf).where("keyword < '7'").groupBy("keyword").agg(F.min("image_id").alias("image_id"))
+    firsts = vectors(spark, sf).groupBy("keyword").agg(F.min("image_id").alias("image_id"))
     return vectors(spark, sf).join(firsts, ["keyword", "image_id"], "left_anti")
 
 
@@ -99,7 +100,7 @@ def l2_normalized(spark, sf):
 WITH {UNITS_SQL}, anchors AS (SELECT keyword, arg_min(v, image_id) AS f FROM units GROUP BY 1)
 SELECT image_id, round(list_dot_product(v, f), 6) AS score FROM units JOIN anchors USING (keyword)""")
 def cosine_to_anchor(spark, sf):
-    scored = ranking.score_against_anchor(vectors(spark, sf), _all_anchors(spark, sf))
+    scored = ranking.score_against_anchor(vectors(spark, sf), _anchors(spark, sf))
     return scored.select("image_id", F.round("score", 6).alias("score"))
 
 
@@ -164,7 +165,9 @@ def greedy_dedup_histogram(spark, sf):
 
 
 LETTERS_SQL = HIST_SQL + """,
-middles AS (SELECT keyword, image_id, v[65:128] AS v, list_sort(v[65:128]) AS o FROM hists),
+folded AS (
+  SELECT keyword, image_id, list_transform(range(1, 65), lambda i: v[i] + v[i + 64] + v[i + 128] + v[i + 192]) AS v FROM hists),
+middles AS (SELECT keyword, image_id, v, list_sort(v) AS o FROM folded),
 letter_flags AS (SELECT keyword, image_id, list_transform(v, lambda x: (x > (o[32] + o[33]) / 2)::INTEGER) AS f FROM middles),
 letter_wide AS (SELECT keyword, image_id, list_reduce(f::HUGEINT[], lambda acc, x: acc * 2 + x) AS w FROM letter_flags),
 letters AS MATERIALIZED (
@@ -177,8 +180,9 @@ letter_edges AS MATERIALIZED (
 
 @query(f"WITH RECURSIVE {LETTERS_SQL}, {greedy_sql('letters', 'letter_edges', 'g')} {FATE}")
 def greedy_dedup_letters(spark, sf):
-    """Which of the bytes 64 to 127 are frequent, as a hash; near duplicates at the published distance 8."""
-    bits = median_bits(F.slice("hist", 65, 64))
+    """Which bytes are frequent, as a hash of 64 places for all 256 values; near duplicates at the published distance 8."""
+    folded = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: sum((F.get("hist", i + 64 * k) for k in (1, 2, 3)), F.get("hist", i)))
+    bits = median_bits(folded)
     hashed = materialize(_histograms(spark, sf).select("keyword", "image_id", bits.alias("bits")))
     return dedup.run_layer(hashed, Layer("hash", HammingIndex(8))).drop("layer")
 
@@ -248,22 +252,11 @@ def image_dedup(spark, sf):
     content = texts(spark, sf)
     pixels = features.pixel_features(features.bytes_as_pixels(content, "content"))
     items = materialize(pixels.withColumn("embedding", F.col("hist")))
-    layers = dedup.standard_layers(CurationParams(embedding_min=0.999, histogram_min=0.999, ssim_max_images=300))
+    layers = dedup.standard_layers(CurationParams(embedding_min=0.999, histogram_min=0.999))
     survivors, _ = dedup.deduplicate(items, layers)
     return dedup.retained(items, survivors)
 
 
-@query(f"""
-WITH RECURSIVE {UNITS_SQL}, sizes AS (SELECT keyword, count(*) AS n FROM units GROUP BY 1),
-small AS MATERIALIZED (SELECT u.* FROM units u JOIN sizes USING (keyword) WHERE n <= (SELECT avg(n) FROM sizes)),
-{cosine_edges_sql('small', 'e', f'> {COSINE}')}, {greedy_sql('units', 'e', 'g')} {FATE}""")
-def layer_gate(spark, sf):
-    """The layer runs only for labels that are no larger than the average label."""
-    items = vectors(spark, sf)
-    limit = int(items.groupBy("keyword").count().agg(F.avg("count")).first()[0])
-    return dedup.run_layer(items, Layer("embedding", VectorIndex(COSINE), "pass", max_images=limit)).drop("layer")
-
-
 @query(f"""
 WITH RECURSIVE {UNITS_SQL},
 fine AS MATERIALIZED (SELECT * FROM units WHERE keyword <> '3' AND image_id % 10 <> 0),
@@ -288,7 +281,8 @@ def unreadable_policy(spark, sf):
 # --- ranking, bands, reports ---
 
 ANCHORS_SQL = UNITS_SQL + """,
-anchors AS MATERIALIZED (SELECT keyword, arg_min(v, image_id) AS f, min(image_id) AS anchor_id FROM units WHERE keyword < '7' GROUP BY 1)"""
+anchors AS MATERIALIZED (SELECT keyword, arg_min(v, image_id) AS f, min(image_id) AS anchor_id FROM units GROUP BY 1)"""
+SOME_ANCHORS_SQL = ANCHORS_SQL.replace("FROM units GROUP BY", "FROM units WHERE keyword < '7' GROUP BY")
 SCORED_SQL = ANCHORS_SQL + """,
 scored AS MATERIALIZED (
   SELECT keyword, image_id, list_dot_product(v, f) AS score FROM units JOIN anchors USING (keyword) WHERE image_id <> anchor_id),
@@ -328,17 +322,17 @@ def _outcome(spark, sf):
     return ranking.with_outcome(banded, _verdicts(spark, sf))
 
 
-@query(f"WITH {ANCHORS_SQL} SELECT keyword, image_id, round(f[1], 6) AS anchor_first FROM units JOIN anchors USING (keyword)")
+@query(f"WITH {SOME_ANCHORS_SQL} SELECT keyword, image_id, round(f[1], 6) AS anchor_first FROM units JOIN anchors USING (keyword)")
 def anchor_lookup(spark, sf):
-    found = ranking.anchor_lookup(vectors(spark, sf).drop("embedding"), _anchors(spark, sf))
+    found = ranking.anchor_lookup(vectors(spark, sf).drop("embedding"), _some_anchors(spark, sf))
     first = F.get(l2_normalize(as_double(F.col("anchor"))), F.lit(0))
     return found.select("keyword", "image_id", F.round(first, 6).alias("anchor_first"))
 
 
-@query(f"WITH {ANCHORS_SQL} SELECT DISTINCT keyword FROM units WHERE keyword NOT IN (SELECT keyword FROM anchors)")
+@query(f"WITH {SOME_ANCHORS_SQL} SELECT DISTINCT keyword FROM units WHERE keyword NOT IN (SELECT keyword FROM anchors)")
 def keywords_without_anchor(spark, sf):
     keywords = vectors(spark, sf).select("keyword").distinct()
-    return ranking.keywords_without_anchor(keywords, _anchors(spark, sf))
+    return ranking.keywords_without_anchor(keywords, _some_anchors(spark, sf))
 
 
 @query(f"WITH {SCORED_SQL} SELECT keyword, image_id, round(score, 6) AS score FROM ranked")
@@ -396,10 +390,11 @@ def filter_counts(spark, sf):
 
 @query(f"""
 WITH {SCORED_SQL}
-SELECT k.keyword, (SELECT count(*) FROM final f WHERE f.keyword = k.keyword) AS images FROM (SELECT DISTINCT keyword FROM units) k""")
+SELECT k.keyword, (SELECT count(*) FROM final f WHERE f.keyword = k.keyword AND f.keyword < '7') AS images FROM (SELECT DISTINCT keyword FROM units) k""")
 def run_summary(spark, sf):
+    """Labels from 7 on count as keywords without a final image."""
     keywords = vectors(spark, sf).select("keyword").distinct()
-    return ranking.run_summary(keywords, _outcome(spark, sf).where("final"))
+    return ranking.run_summary(keywords, _outcome(spark, sf).where("final and keyword < '7'"))
 
 
 @query(f"WITH {SCORED_SQL} SELECT keyword, image_id, rank::INTEGER AS rank FROM final WHERE rank <= 6")
@@ -416,24 +411,21 @@ def report_cards(spark, sf):
     return reporting.report_cards(ranking.with_output_names(_ranked(spark, sf)))
 
 
-CARD_SQL = f"""'<div class="card"><img src="' || {NAME_SQL} || '" alt="rank ' || rank || '" loading="lazy"><div class="meta"><span>#'
-  || rank || ' &nbsp; ' || printf('%.3f', score) || '</span><progress value="' || trunc(score * 100)::INTEGER
-  || '" max="100"></progress></div></div>' || chr(10)"""
+ROW_SQL = f"""'<tr><td>' || rank || '<td><a href="' || {NAME_SQL} || '">' || {NAME_SQL} || '</a><td>' || printf('%.3f', score)
+  || '<td>' || trunc(score * 100)::INTEGER || chr(10)"""
 
 
 @query(f"""
 WITH {SCORED_SQL},
-bodies AS (SELECT keyword, ((rank - 1) // 20)::INTEGER AS part, string_agg({CARD_SQL}, '' ORDER BY rank) AS body FROM ranked GROUP BY 1, 2),
-sizes AS (SELECT keyword, count(*) AS n, ((count(*) + 19) // 20 - 1)::INTEGER AS last FROM ranked GROUP BY 1)
+bodies AS (SELECT keyword, ((rank - 1) // 20)::INTEGER AS part, string_agg({ROW_SQL}, '' ORDER BY rank) AS body FROM ranked GROUP BY 1, 2),
+sizes AS (SELECT keyword, count(*) AS n, ((count(*) + 19) // 20)::INTEGER AS parts FROM ranked GROUP BY 1)
 SELECT b.keyword, part,
-       CASE WHEN part = 0 THEN '<!DOCTYPE html>' || chr(10) || '<html lang="en"><head><meta charset="UTF-8"><title>' || b.keyword
-            || ' — Sorted Results</title><style>{reporting.STYLE}</style></head>' || chr(10) || '<body><h1>' || b.keyword || ' — ' || n
-            || ' matching images</h1>' || chr(10) || '<div class="ref"><img src="' || b.keyword || '_no_person.jpg" alt="reference"></div>'
-            || chr(10) || '<div class="grid">' || chr(10) ELSE '' END
-       || body || CASE WHEN part = last THEN '</div></body></html>' || chr(10) ELSE '' END AS html
+       '{reporting.OPENING}' || b.keyword || '{reporting.STYLE}<table><caption>Keyword ' || b.keyword || ', ranked against <a href="' || b.keyword
+       || '_no_person.jpg">its anchor</a>: images ' || (20 * part + 1) || ' to ' || least(20 * part + 20, n) || ' of ' || n || ', page '
+       || (part + 1) || ' of ' || parts || '{reporting.COLUMNS}' || body || '{reporting.CLOSING}' AS html
 FROM bodies b JOIN sizes USING (keyword)""")
 def report_html(spark, sf):
-    """Reports in parts of 20 cards."""
+    """Reports in pages of 20 images."""
     cards = materialize(report_cards(spark, sf))
     anchors = _anchors(spark, sf).select("keyword", F.concat("keyword", F.lit("_no_person.jpg")).alias("anchor_path"))
     return reporting.report_html(cards, anchors, 20)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from weftloom.functions import urls
 from weftloom.operators import crawl, html, scoring
 from weftloom.operators.ordering import number_rows
+from weftloom.plans import curate
 from weftloom.session import materialize
 from workloads.base import (
     HOST_SQL, LANGUAGE_SQL, NORMAL_SQL, ORIGIN_SQL, PATH_SQL, SCHEME_SQL, Registry, normalized, page_language, pages, table,
@@ -123,12 +124,62 @@ def crawl_delay(spark, sf):
     return crawl.crawl_delays(targets, _robots(spark, sf)).select("page_id", "delay", "crawl_wait", "scrape_wait")
 
 
+ALLOWED_SQL = f"""CASE WHEN {HOST_SQL} LIKE 'm.%' THEN TRUE
+            WHEN length({HOST_SQL}) % 6 IN (0, 2) THEN FALSE
+            WHEN length({HOST_SQL}) % 6 = 1 THEN TRUE
+            WHEN {PATH_SQL} LIKE '/en/8%' THEN FALSE WHEN {PATH_SQL} LIKE '/en%' THEN TRUE
+            WHEN {PATH_SQL} LIKE '/e%' THEN FALSE ELSE TRUE END"""
+
+
+def _reach_sql(name: str, language: str) -> str:
+    return f"""
+{name}(url) AS (
+  SELECT DISTINCT {NORMAL_SQL} FROM pages WHERE {LANGUAGE_SQL} = '{language}'
+  UNION
+  SELECT link FROM (SELECT e.link FROM edges e JOIN {name} USING (url) WHERE e.open)
+  WHERE regexp_extract(link, '^[a-zA-Z]+://([^/?#]*)', 1) IN (SELECT {HOST_SQL} FROM pages WHERE {LANGUAGE_SQL} = '{language}'))"""
+
+
+@query(f"""
+WITH RECURSIVE {HREFS_SQL},
+paths AS (
+  SELECT page_id, url, CASE WHEN page_id % 5 = 0 THEN 'http://moved.example' ELSE {ORIGIN_SQL} END AS origin,
+         regexp_extract(href, '^[^?#]*') AS path
+  FROM hrefs WHERE NOT regexp_matches(href, '^(javascript:|mailto:|tel:|#|data:)') AND page_id % 7 <> 0),
+asked AS (
+  SELECT {NORMAL_SQL} AS url, origin || CASE WHEN rtrim(path, '/') = '' THEN '/' ELSE rtrim(regexp_replace(path, ';[^/]*$', ''), '/') END AS link
+  FROM paths),
+edges AS MATERIALIZED (SELECT DISTINCT url, link, {ALLOWED_SQL} AS open FROM asked),
+{_reach_sql('shared', 'en')}, {_reach_sql('french', 'fr')},
+pool AS (
+  SELECT keyword, url FROM (SELECT DISTINCT {LANGUAGE_SQL} AS keyword FROM pages) CROSS JOIN shared WHERE keyword <> 'fr'
+  UNION ALL SELECT 'fr', url FROM french),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY url) - 1 AS n FROM pool)
+SELECT keyword, (n // 50)::INTEGER AS batch, count(*) AS urls, string_agg((n % 50) || '. ' || url, chr(10) ORDER BY n) AS request
+FROM numbered GROUP BY 1, 2""")
+def acquire(spark, sf):
+    """Crawls over the stored pages: English pages start the shared one, French pages their own.
+
+    Every fifth page was redirected to another site, every seventh is no HTML.
+    """
+    number = F.col("page_id")
+    stored = (
+        pages(spark, sf)
+        .withColumn("final_url", F.when(number % 5 == 0, "http://moved.example/x"))
+        .withColumn("content_type", F.when(number % 7 == 0, "image/png").otherwise("text/html; charset=utf-8"))
+    )
+    language = page_language()
+    seeds = stored.where(language.isin("en", "fr")).select(F.when(language == "fr", "fr").alias("keyword"), "url")
+    keywords = stored.select(language.alias("keyword")).distinct()
+    return curate.acquire(stored, seeds, _robots(spark, sf), keywords)
+
+
 @query("""
 WITH RECURSIVE n AS (SELECT count(*) AS n FROM customer),
 links AS MATERIALIZED (
   SELECT c_custkey AS k, (7 * c_custkey + 3) % n AS t FROM customer, n WHERE c_mktsegment <> 'MACHINERY'
   UNION ALL SELECT c_custkey, (11 * c_custkey + 5) % n FROM customer, n WHERE c_mktsegment <> 'MACHINERY'),
-reach(k) AS (SELECT 0::BIGINT UNION SELECT t FROM links JOIN reach USING (k))
+reach(k) AS (SELECT c_custkey FROM customer WHERE c_custkey % 10 = 0 UNION SELECT t FROM links JOIN reach USING (k))
 SELECT 'http://shop.example/' || k AS url FROM reach""")
 def crawl_reachable(spark, sf):
     """Customers as pages of a site with two links each; one market segment is visited but not expanded."""
@@ -141,7 +192,7 @@ def crawl_reachable(spark, sf):
         customers.select(address(key).alias("url"), F.explode(targets).alias("t")).select("url", address(F.col("t")).alias("link"))
     )
     closed = customers.where("c_mktsegment = 'MACHINERY'").select(address(key).alias("url"))
-    seeds = customers.where("c_custkey = 0").select(address(key).alias("url"))
+    seeds = customers.where("c_custkey % 10 = 0").select(address(key).alias("url"))
     return crawl.crawl_reachable(seeds, links, closed).select("url")
 
 
