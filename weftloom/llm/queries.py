@@ -60,11 +60,11 @@ mixed AS MATERIALIZED (
 
 
 @query(sql=f"""WITH {MIX_SQL}
-SELECT doc_id, source, mix_copy::INTEGER AS mix_copy,
+SELECT doc_id, text, lang, source, n_chars, mix_copy::INTEGER AS mix_copy,
        ('0x' || substr(md5('{mixing.SEED}:order:' || doc_id || ':' || mix_copy), 1, 13))::BIGINT::DOUBLE / {1 << 52} AS mix_key
 FROM mixed""")
 def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
-    return mixing.mix(table(spark, sf, "documents")).select("doc_id", "source", "mix_copy", "mix_key")
+    return mixing.mix(table(spark, sf, "documents"))
 
 
 # --- 3: quality rules ---
