@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftloom.llm import bpe, langid, mixing, quality
+from weftloom.llm.batches import bounded_batches
 from weftloom.llm.jaccard_join import jaccard_components
 from weftloom.llm.queries import byte_bpe_ranks
 from weftloom.session import broadcast_if_small, materialize
@@ -20,6 +21,7 @@ query = Registry()
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected: texts without a letter, and those of no language with enough certainty."""
+    bounded_batches(spark)
     model = langid.train(docs)
     names = docs.columns
     numbered = docs.toDF(*[f"c{i}" for i in range(len(names))])  # so that added columns can't clash
@@ -36,6 +38,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents, the one of the smallest id stays; of rows with one id, one."""
+    bounded_batches(spark)
     found = materialize(jaccard_components(docs))
     removed = found.where("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(broadcast_if_small(removed), "doc_id", "left_anti")
@@ -55,6 +58,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with digests of the ids and of the bytes that they decode to."""
+    bounded_batches(spark)
     ranks, pattern = byte_bpe_ranks()
     decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
     return bpe.digests(decoded, keep=("doc_id", "ids"))

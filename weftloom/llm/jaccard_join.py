@@ -49,30 +49,28 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray]]
 
 
 def _frequent(width: int):
-    """Shingles that several different documents of a batch share, with their number."""
+    """Shingles that several different documents of some millions of shingles share, with their number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            held, size, known = [], 0, set()
+        held, size, known = [], 0, set()
 
-            def counted():
-                values, counts = np.unique(np.concatenate(held), return_counts=True)
-                often = counts >= _SEEN_IN_BATCH
-                return pa.RecordBatch.from_arrays(
-                    [pa.array(_as_long(values[often])), pa.array(counts[often])], ["shingle", "n"]
-                )
+        def counted() -> pa.RecordBatch:
+            values, counts = np.unique(np.concatenate(held), return_counts=True)
+            often = counts >= _SEEN_IN_BATCH
+            return pa.RecordBatch.from_arrays([pa.array(_as_long(values[often])), pa.array(counts[often])], ["shingle", "n"])
 
+        for batch in batches:
             for _, own in _sets(batch, width):
-                key = own.tobytes()[:64], len(own)  # copies count once; this is only an order, so near enough
+                key = own[:8].tobytes(), len(own)  # copies count once; this is only an order, so near enough
                 if len(own) and key not in known:
                     known.add(key)
                     held.append(own)
                     size += len(own)
                     if size >= _BATCH_SHINGLES:
                         yield counted()
-                        held, size = [], 0
-            if held:
-                yield counted()
+                        held, size, known = [], 0, set()
+        if held:
+            yield counted()
 
     return run
 

@@ -146,12 +146,14 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, seed: int =
     bound = broadcast_if_small(counts)
     drawn = labelled.join(bound, "lang").where((draw / 2.0**64 + 0.5) < share).select("doc_id", "text", "lang", draw.alias("draw"))
     sample = drawn.mapInArrow(_features, "lang string, draw long, doc_id long, ids array<int>, weights array<float>")
-    rows = sample.toArrow().sort_by([("lang", "ascending"), ("draw", "ascending"), ("doc_id", "ascending")]).to_pylist()
+    rows = sample.toArrow().combine_chunks()
+    keys = zip(rows["lang"].to_pylist(), rows["draw"].to_pylist(), rows["doc_id"].to_pylist(), range(len(rows)))
     per, chosen = {}, []
-    for r in rows:
-        per[r["lang"]] = per.get(r["lang"], 0) + 1
-        if per[r["lang"]] <= per_language and r["ids"]:
-            chosen.append((r["lang"], np.array(r["ids"]), np.array(r["weights"], np.float32)))
+    for language, _, _, at in sorted(keys):
+        ids, weights = (rows[name][at].values.to_numpy() for name in ("ids", "weights"))  # views, as the sample is held once
+        per[language] = per.get(language, 0) + 1
+        if per[language] <= per_language and len(ids):
+            chosen.append((language, ids, weights))
     return fit(chosen, seed)
 
 

@@ -19,7 +19,7 @@ from weftloom.llm import words
 from weftloom.session import materialize
 
 BACKOFF = 0.4
-CHUNK_BYTES, BUCKET_BYTES = 16 << 20, 12 << 20  # of text for each chunk and bucket
+CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 12 << 20  # of text for each chunk and bucket
 REQUESTS = "chunk int, bucket int, grams binary, counts binary"
 ANSWERS = "chunk int, bucket int, counts binary"
 SCORES = "doc_id long, n_words long, n_pairs_known long, n_unigram long, partial double"

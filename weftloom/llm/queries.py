@@ -7,13 +7,19 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from weftloom.llm import bpe, chat, langid, licenses, lm, mixing, quality, token_counts
+from weftloom.llm.batches import bounded_batches
 from weftloom.llm.jaccard_join import jaccard_components
 from weftloom.llm.topk import exact_top_k
-from workloads.base import Registry, table
+from workloads.base import Registry, table as read_table
 
 query = Registry()
 
 
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    bounded_batches(spark)
+    return read_table(spark, sf, name)
+
+
 def tokenizer_file(name: str) -> str:
     """A public vocabulary file; ``WEFTLOOM_TOKENIZERS`` names another folder for them."""
     folder = os.environ.get("WEFTLOOM_TOKENIZERS")
