@@ -223,3 +223,12 @@ def test_empty_reply_is_no_failure(spark):
     batches = spark.createDataFrame([("k", 0, 0, 0, "u")], "keyword string, batch int, place int, pos int, url string")
     replies = spark.createDataFrame([("k", 0, "[]")], "keyword string, batch int, reply string")
     assert scoring.with_failed_batches(scoring.parse_score_replies(replies), batches).count() == 0
+
+
+def test_header_sizes():
+    from weftloom.functions.headers import header_size
+
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab\xff\xff\xc4\x00\x03x\xff\xc2\x00\x11\x08\x01\x00\x02\x00\x03"
+    assert header_size(jpeg) == (512, 256)
+    for broken in (None, b"", b"\xff\xd8", jpeg[:12], b"\x89PNG\r\n\x1a\n", b"RIFF1234WEBPVP8 ", b"GIF89a" + bytes(30)):
+        assert header_size(broken) == (-1, -1)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weftloom.functions import urls
+from weftloom.functions.headers import image_size
 from weftloom.operators import crawl, html, scoring
 from weftloom.operators.ordering import number_rows
 from weftloom.plans import curate
@@ -287,6 +288,26 @@ def collision_names(spark, sf):
     return crawl.collision_names(arrivals).select(F.col("pos").alias("doc_id"), "stored_name")
 
 
+@query("SELECT doc_id, (n_chars % 4000 + 1)::INTEGER AS width, (doc_id % 3000 + 1)::INTEGER AS height FROM documents")
+def header_dimensions(spark, sf):
+    """Headers of five kinds, made from documents: PNG, three of WebP, and JPEG behind a segment that depends on the text."""
+    w, h = F.pmod("n_chars", F.lit(4000)) + 1, F.pmod("doc_id", F.lit(3000)) + 1
+    big = lambda n, size: F.lpad(F.hex(n), 2 * size, "0")
+    little = lambda n, size: F.concat(*[F.lpad(F.hex(F.shiftright(n, 8 * i).bitwiseAND(255)), 2, "0") for i in range(size)])
+    text = lambda raw: F.lit(raw.encode().hex())
+    webp = lambda kind, *rest: F.concat(text("RIFF"), F.lit("00" * 4), text("WEBP"), text(kind), F.lit("00" * 4), *rest)
+    kind = F.pmod("doc_id", F.lit(5))
+    header = (
+        F.when(kind == 0, F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), big(w, 4), big(h, 4)))
+        .when(kind == 1, webp("VP8 ", F.lit("3001009D012A"), little(w, 2), little(h, 2)))
+        .when(kind == 2, webp("VP8L", F.lit("2F"), little(w - 1 + (h - 1) * 16384, 4), F.lit("00" * 5)))
+        .when(kind == 3, webp("VP8X", F.lit("00" * 4), little(w - 1, 3), little(h - 1, 3)))
+        .otherwise(F.concat(F.lit("FFD8FFE00012"), F.md5(F.coalesce("text", F.lit(""))), F.lit("FFC0001108"), big(h, 2), big(w, 2), F.lit("03")))
+    )
+    made = table(spark, sf, "documents").select("doc_id", F.unhex(header).alias("content"))
+    return made.select("doc_id", image_size("content").alias("size")).select("doc_id", "size.width", "size.height")
+
+
 @query(f"""
 WITH k AS (SELECT DISTINCT {LANGUAGE_SQL} AS keyword FROM pages),
 own AS (SELECT DISTINCT {LANGUAGE_SQL} AS keyword, {NORMAL_SQL} AS url FROM pages)
