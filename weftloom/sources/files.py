@@ -78,7 +78,7 @@ def read_string_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_manifests(spark: SparkSession, path: str, keywords: DataFrame) -> DataFrame:
-    """Manifests of all keywords, with empty defaults for those without a file."""
+    """Manifests of all keywords, with empty defaults for those without a file; one in parts has a row for each part."""
     stored = spark.read.schema(MANIFEST_SCHEMA).json(path, multiLine=True)
     return keywords.select("keyword").join(stored, "keyword", "left").select(
         "keyword",

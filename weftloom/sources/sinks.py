@@ -18,6 +18,11 @@ def write_ranked(ranked: DataFrame, path: str) -> None:
     overwrite_partitions(ranked.repartitionByRange("keyword", "rank").sortWithinPartitions("keyword", "rank"), path, ["keyword"])
 
 
+def write_manifests(parts: DataFrame, path: str) -> None:
+    """Manifests as one JSON object for each keyword and batch, which ``files.read_manifests`` reads; see ``loader.manifest_rollup``."""
+    overwrite_partitions(parts.repartition("keyword", "batch_id"), path, ["keyword", "batch_id"], "json")
+
+
 def write_reports(parts: DataFrame, path: str) -> None:
-    """Report texts as ``keyword=…/part=…`` text files: joined in part order they are the document."""
+    """Report pages as ``keyword=…/part=…`` text files, each a document of its own."""
     overwrite_partitions(parts.select("html", "keyword", "part"), path, ["keyword", "part"], "text")

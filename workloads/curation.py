@@ -13,7 +13,8 @@ from weftloom.operators.dedup import Layer
 from weftloom.operators.simjoin import HammingIndex, StructureIndex, VectorIndex
 from weftloom.params import CurationParams
 from weftloom.plans import curate
-from weftloom.session import materialize
+from weftloom.session import materialize, scratch_path
+from weftloom.sources import sinks
 from workloads.base import (
     HIST_SQL, VECTORS_SQL, Registry, cosine_edges_sql, greedy_sql, texts, unit_sql, vectors,
 )
@@ -411,6 +412,16 @@ def report_cards(spark, sf):
     return reporting.report_cards(ranking.with_output_names(_ranked(spark, sf)))
 
 
+@query(f"WITH {SCORED_SQL} SELECT keyword, image_id, rank::INTEGER AS rank FROM ranked")
+def ranked_sink(spark, sf):
+    """Ranked images written by keyword, over an earlier and longer run, and read back."""
+    root = scratch_path(spark)
+    ranked = materialize(_ranked(spark, sf).select("keyword", "image_id", "rank"))
+    sinks.write_ranked(ranked.unionByName(ranked.withColumn("rank", F.col("rank") + 10_000)), root)
+    sinks.write_ranked(ranked, root)
+    return spark.read.schema("image_id long, rank int, keyword string").parquet(root).select("keyword", "image_id", "rank")
+
+
 ROW_SQL = f"""'<tr><td>' || rank || '<td><a href="' || {NAME_SQL} || '">' || {NAME_SQL} || '</a><td>' || printf('%.3f', score)
   || '<td>' || trunc(score * 100)::INTEGER || chr(10)"""
 

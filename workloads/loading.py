@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from weftloom.operators import loader
+from weftloom.operators import loader, scoring
 from weftloom.operators.ordering import number_rows
 from weftloom.session import materialize, scratch_path
-from weftloom.sources import files
+from weftloom.sources import files, sinks
 from weftloom.streaming import load as streaming_load
 from workloads.base import Registry, table
 
@@ -23,10 +23,15 @@ def shard_scan_first_wins(spark, sf):
     return files.first_rows(rows, ["o_custkey"], ["o_orderkey"])
 
 
-@query()
+@query("SELECT source AS keyword, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes, sum(octet_length(encode(text)) + 1)::BIGINT AS length FROM documents GROUP BY 1")
 def scan_images(spark, sf):
-    """Listing of the table files themselves, told apart by suffix as images are; contents are not read."""
-    return files.scan_images(spark, sf, ("parquet",)).select("filename", "length")
+    """Documents written as files in a folder for each source, and scanned like images, contents included."""
+    root = scratch_path(spark)
+    written = table(spark, sf, "documents").select(F.col("source").alias("keyword"), "text")
+    written.write.partitionBy("keyword").text(root)
+    return files.scan_images(spark, root, ("txt",)).groupBy("keyword").agg(
+        F.sum(F.octet_length("image_bytes")).alias("bytes"), F.sum("length").alias("length")
+    )
 
 
 def _listing(spark, sf):
@@ -105,6 +110,41 @@ def manifest_rollup(spark, sf):
     )
 
 
+@query(f"""
+WITH {LISTING_SQL}
+SELECT keyword, filename, max(batch_id) OVER (PARTITION BY keyword) AS batch_count, (count(*) OVER (PARTITION BY keyword))::INTEGER AS total_count,
+       strftime(max(committed_at) OVER (PARTITION BY keyword), '%Y-%m-%d') AS last_updated
+FROM ledger""")
+def manifest_roundtrip(spark, sf):
+    """Manifests written as JSON and read back, a row for each name."""
+    root = scratch_path(spark)
+    ledger = materialize(_ledger(spark, sf))
+    sinks.write_manifests(loader.manifest_rollup(ledger), root)
+    stored = files.read_manifests(spark, root, ledger.select("keyword").distinct())
+    return stored.select("keyword", F.explode("uploaded").alias("filename"), "batch_count", "total_count", F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"))
+
+
+@query("""
+WITH n AS (SELECT o_orderpriority AS keyword, o_clerk_key AS url, n FROM (
+  SELECT o_orderpriority, 'http://shop.example/' || o_orderkey AS o_clerk_key, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey) - 1 AS n FROM orders))
+SELECT keyword, (n // 1000)::INTEGER AS batch, (n % 1000)::INTEGER AS pos, url FROM n""")
+def string_list_roundtrip(spark, sf):
+    """URLs of orders written as JSON lists of 1000, and read back in order."""
+    root = scratch_path(spark)
+    pool = table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("keyword"), F.col("o_orderkey").alias("pos"), F.concat(F.lit("http://shop.example/"), "o_orderkey").alias("url")
+    )
+    lists = scoring.score_batches(pool, 1000).groupBy("keyword", "batch").agg(
+        F.array_sort(F.collect_list(F.struct("place", "url"))).alias("urls")
+    )
+    text = F.to_json(F.transform("urls", lambda u: u["url"]))
+    lists.select(text.alias("value"), "keyword", "batch").repartition("keyword", "batch").write.partitionBy("keyword", "batch").text(root)
+    place = F.regexp_extract(F.url_decode("path"), r"keyword=([^/]*)/batch=(\d+)/", 1)
+    number = F.regexp_extract("path", r"batch=(\d+)/", 1).cast("int")
+    read = files.read_string_list(spark, root)
+    return read.select(F.url_decode(place).alias("keyword"), number.alias("batch"), "pos", "url")
+
+
 def _text_images(documents):
     return documents.select(
         F.col("source").alias("keyword"),
