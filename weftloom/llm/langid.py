@@ -26,7 +26,7 @@ LEARNING_RATE = 2.0
 BATCH = 16
 MISSED = 0.001  # share of right predictions that the rejection threshold may cost
 UNKNOWN = "und"
-_PIECE = 500_000  # characters handled at once
+_PIECE = 200_000  # characters handled at once
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
 _LETTERS: list[np.ndarray] = []
 
