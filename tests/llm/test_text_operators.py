@@ -139,6 +139,53 @@ def test_notices_are_found_with_their_places(spark):
     assert licenses.scan_licenses(frame(spark, []).where("false")).count() == 0
 
 
+USUAL_WORDINGS = [
+    ("© 2021 Jane Doe. All rights reserved.", {"all-rights-reserved"}),
+    ("Licensed under the MIT License", {"MIT"}),
+    ("Distributed under the terms of the MIT license.", {"MIT"}),
+    ("# SPDX-License-Identifier: MIT", {"MIT"}),
+    ("It is available under the Apache 2.0 license.", {"Apache-2.0"}),
+    ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0"}),
+    ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0"}),
+    ("Foo is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the "
+     "Free Software Foundation; either version 2 of the License, or (at your option) any later version.", {"GPL-2.0"}),
+    ("Bar is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+     "the Free Software Foundation, either version 3 of the License, or (at your option) any later version.", {"AGPL-3.0"}),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", {"CC-BY-SA-4.0"}),
+    ("See https://creativecommons.org/licenses/by-nc/4.0/ for more", {"CC-BY-NC-4.0"}),
+    ("Copyright (c) 2009, The Regents. All rights reserved. Redistribution and use in source and binary forms, with or without modification, "
+     "are permitted provided that the following conditions are met: * Redistributions of source code must retain the above copyright notice, "
+     "this list of conditions and the following disclaimer. * Redistributions in binary form must reproduce the above copyright notice, this "
+     "list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE "
+     "IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE "
+     "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+     "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+     "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF "
+     "LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+     "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.", {"all-rights-reserved", "BSD-redistribution", "BSD-2-Clause"}),
+    ("The rights of all are reserved here, and a license is under the table", set()),
+]
+
+
+def test_usual_wordings_are_found(spark):
+    draw = random.Random(4)
+    filler = lambda n: " ".join("".join(draw.choice("xyzuv") for _ in range(5)) for _ in range(n))
+    texts = [f"{filler(n)}\n{text}\n{filler(n)}" for n in (0, 2, 3, 250) for text, _ in USUAL_WORDINGS]
+    found = {i: set() for i in range(len(texts))}
+    for r in licenses.scan_licenses(frame(spark, texts)).collect():
+        found[r.doc_id].add(r.license)
+    assert [found[i] for i in range(len(texts))] == [want for _ in range(4) for _, want in USUAL_WORDINGS]
+
+
+def test_every_license_line_of_the_documents_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lines = {"all-rights-reserved": "All rights reserved.", "MIT": "Released under the MIT License.", "Apache-2.0": "Licensed under the Apache License, Version 2.0."}
+    found = {(r.doc_id, r.license) for r in licenses.scan_licenses(docs).collect()}
+    for name, line in lines.items():
+        holding = {r.doc_id for r in docs.where(F.contains("text", F.lit(line))).collect()}
+        assert holding and {(i, name) for i in holding} <= found
+
+
 # --- 6 ---
 
 

@@ -3,12 +3,16 @@
 A notice of up to C words (C a power of two) lies wholly in one of the windows of 2 C words that begin every C words. Its
 shingles and the window's have at least a known Jaccard similarity, from which the bands are set so that the two
 share a band with probability ``CERTAINTY`` or more. Whatever shares a band is then checked exactly.
+
+A license has several templates: its notice, its usual wordings and its standard header or body. Where the templates of two
+licenses differ in so few shingles that one's text would pass for the other (GPL 2 and 3, BSD with 2 and 3 clauses), these
+shingles must be contained as well.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weftloom.llm import words
+from weftloom.llm.license_texts import WORDINGS
 
 # Notices as their licenses or publishers word them.
 NOTICES = {
@@ -36,6 +41,8 @@ NOTICES = {
     "Apache-2.0-header": "you may not use this file except in compliance with the License",
     "all-rights-reserved": "All rights reserved. No part of this publication may be reproduced",
 }
+#: By license, all its templates.
+TEMPLATES = {name: (*([NOTICES[name]] if name in NOTICES else []), *WORDINGS.get(name, ())) for name in {**NOTICES, **WORDINGS}}
 SHINGLE_WORDS = 3
 CONTAINED = 0.8
 CERTAINTY = 0.999
@@ -62,6 +69,7 @@ class _Class:
     size: int
     names: list[str]
     sets: list[np.ndarray]
+    telling: list[list[np.ndarray]]  # by template, the shingles that tell it from each relative of another license
     longest: int
     bands: int
     rows: int
@@ -85,21 +93,32 @@ def _banded(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
-def template_classes(notices: dict[str, str], width: int = SHINGLE_WORDS, contained: float = CONTAINED) -> list[_Class]:
-    by_size: dict[int, list] = {}
-    names = list(notices)
-    for row, hashes, _ in words.words_and_spans(pa.array([notices[n] for n in names]), True, True):
+def template_classes(
+    notices: Mapping[str, str | tuple[str, ...]], width: int = SHINGLE_WORDS, contained: float = CONTAINED
+) -> list[_Class]:
+    spelled = [(name, text) for name, texts in notices.items() for text in ((texts,) if isinstance(texts, str) else texts)]
+    templates = []
+    for row, hashes, _ in words.words_and_spans(pa.array([text for _, text in spelled], pa.string()), True, True):
         if len(hashes) < width:
-            raise ValueError(f"{names[row]!r} has fewer than {width} words")
-        by_size.setdefault(max(8, 1 << (len(hashes) - 1).bit_length()), []).append((names[row], len(hashes), np.unique(words.windows(hashes, width))))
+            raise ValueError(f"{spelled[row][0]!r} has a template of fewer than {width} words")
+        templates.append((spelled[row][0], len(hashes), np.unique(words.windows(hashes, width))))
+
+    def telling(name: str, own: np.ndarray) -> list[np.ndarray]:
+        rests = (np.setdiff1d(own, other, assume_unique=True) for relative, _, other in templates if relative != name)
+        return [rest for rest in rests if 0 < len(rest) <= (1 - contained) * len(own) + 1e-9]
+
+    by_size: dict[int, list] = {}
+    for name, n, own in templates:
+        by_size.setdefault(max(4, 1 << (n - 1).bit_length()), []).append((name, n, own, telling(name, own)))
     classes = []
     for size, group in sorted(by_size.items()):
         most = 2 * size - width + 1  # shingles of a window
-        jaccard = min(contained * len(s) / (most + (1 - contained) * len(s)) for _, _, s in group)
+        jaccard = min(contained * len(g[2]) / (most + (1 - contained) * len(g[2])) for g in group)
         bands, rows = band_settings(jaccard)
         seeds = np.random.default_rng(size).integers(1, 1 << 63, bands * rows, dtype=np.uint64)
-        values = np.stack([_banded(_minima(s, np.array([0]), seeds), bands, rows)[:, 0] for _, _, s in group])
-        classes.append(_Class(size, [g[0] for g in group], [g[2] for g in group], max(g[1] for g in group), bands, rows, seeds, values))
+        values = np.stack([_banded(_minima(g[2], np.array([0]), seeds), bands, rows)[:, 0] for g in group])
+        longest = max(g[1] for g in group)
+        classes.append(_Class(size, [g[0] for g in group], [g[2] for g in group], [g[3] for g in group], longest, bands, rows, seeds, values))
     return classes
 
 
@@ -144,7 +163,7 @@ def find_notices(
     texts: Iterator[tuple[int, np.ndarray]], classes: list[_Class], width: int = SHINGLE_WORDS, contained: float = CONTAINED
 ) -> dict[int, dict[str, Match]]:
     """By row, the best match of each notice in the text's words: (containment, first word, last word)."""
-    found: dict[int, dict[str, Match]] = {}
+    best: dict[int, dict[str, tuple[tuple[float, int], Match]]] = {}
     largest = max((kind.size for kind in classes), default=8)
     for group in _segments(texts, _SLICE // largest * largest, 2 * largest + width):
         joined = np.concatenate([part for _, _, part in group])
@@ -157,22 +176,28 @@ def find_notices(
                 row, low, part = group[segment]
                 inside = words.windows(part[at : at + 2 * kind.size + width - 1], width)
                 places = np.flatnonzero(np.isin(inside, kind.sets[t]))
-                share = len(np.unique(inside[places])) / len(kind.sets[t])
-                own, name = found.setdefault(row, {}), kind.names[t]
-                if share >= contained and share > own.get(name, (0.0,))[0]:
-                    own[name] = share, low + at + int(places[0]), low + at + int(places[-1]) + width
-    return found
-
-
-def scan_licenses(docs: DataFrame, notices: dict[str, str] = NOTICES, contained: float = CONTAINED) -> DataFrame:
-    """``(doc_id, license, containment, start, end)`` for every notice that a text holds.
-
-    Words are compared without case and ASCII punctuation. A notice is found where a window holds at least ``contained`` of its
-    3-word shingles; of several places the one holding most counts, then the first. ``start`` and ``end`` are code-point
+                held = np.unique(inside[places])
+                share = len(held) / len(kind.sets[t])
+                rank = share, len(held)
+                own, name = best.setdefault(row, {}), kind.names[t]
+                if share < contained or any(np.isin(rest, held).mean() < contained for rest in kind.telling[t]):
+                    continue
+                match = share, low + at + int(places[0]), low + at + int(places[-1]) + width
+                known, before = own.get(name, ((0.0, 0), (0.0, 0, 0)))
+                if rank > known or rank == known and match[1] < before[1]:
+                    own[name] = rank, match
+    return {row: {name: match for name, (_, match) in own.items()} for row, own in best.items()}
+
+
+def scan_licenses(docs: DataFrame, notices: Mapping[str, str | tuple[str, ...]] = TEMPLATES, contained: float = CONTAINED) -> DataFrame:
+    """``(doc_id, license, containment, start, end)`` for every license whose notice a text holds.
+
+    ``notices`` has one template or several by license. Words are compared without case and ASCII punctuation. A notice is found where a window holds at least ``contained`` of its
+    3-word shingles; of several places and templates the largest share counts, then the most shingles, then the first. ``start`` and ``end`` are code-point
     offsets from the first to the last shingle found. Null and empty texts hold nothing; repeated rows give
     repeated results; rows without an id are scanned as well. The notices, given as a parameter, travel with the tasks.
     """
-    classes = template_classes(notices)
+    classes = template_classes(notices, contained=contained)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
