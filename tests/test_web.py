@@ -184,6 +184,26 @@ def test_collision_names(spark, names):
     assert {(r.keyword, r.pos): r.stored_name for r in got.collect()} == names_loop(rows)
 
 
+NAMES = ["a.jpg", "a_1.jpg", "a_2.jpg", "a_1_1.jpg", "b.x.png", "b.x_1.png"]
+
+
+@RELAXED
+@given(st.lists(st.sampled_from(NAMES), min_size=1, max_size=20), st.sets(st.sampled_from([*NAMES, "a_3.jpg", "a_5.jpg", "a_01.jpg", "b.x_3.png"])))
+def test_names_of_earlier_runs_are_taken(spark, names, earlier):
+    rows = [("k" if i % 5 else "j", i, n) for i, n in enumerate(names)]
+    stored = spark.createDataFrame([("k", n) for n in earlier] * 2, "keyword string, name string")
+    got = crawl.collision_names(spark.createDataFrame(rows, "keyword string, pos long, name string"), stored)
+    want = names_loop([("k", i - len(earlier), n) for i, n in enumerate(sorted(earlier))] + rows)
+    assert {(r.keyword, r.pos): r.stored_name for r in got.collect()} == {at: name for at, name in want.items() if at[1] >= 0}
+
+
+def test_second_run_stores_no_name_twice(spark):
+    arrivals = spark.createDataFrame([("k", i, "a.jpg") for i in range(4)], "keyword string, pos long, name string")
+    first = crawl.collision_names(arrivals).select("keyword", F.col("stored_name").alias("name"))
+    second = crawl.collision_names(arrivals, first)
+    assert [r.stored_name for r in second.orderBy("pos").collect()] == ["a_4.jpg", "a_5.jpg", "a_6.jpg", "a_7.jpg"]
+
+
 @pytest.mark.parametrize("hot_rows", [10, 10**6])
 def test_number_rows(spark, hot_rows):
     rows = [("hot" if i % 3 else ("n" if i % 2 else None), (i * 37) % 401, f"p{i}") for i in range(300)]

@@ -140,17 +140,21 @@ def accepted_downloads(downloads: DataFrame, min_dim: int = 500) -> DataFrame:
     return downloads.where(f"status = 200 and width >= {min_dim} and height >= {min_dim}")
 
 
-def collision_names(images: DataFrame) -> DataFrame:
+def collision_names(images: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """Add ``stored_name`` to ``images(keyword, pos, name)``: ``stem.ext``, ``stem_1.ext``, ``stem_2.ext`` ….
 
-    In order of ``pos`` each image takes the first form of its name that is free. Equal names are
-    numbered at once; a further round is only needed where a numbered name is also somebody's
+    In order of ``pos`` each image takes the first form of its name that is free. Names in
+    ``stored(keyword, name)``, those of earlier runs, are taken before the first image. Equal names are
+    numbered at once, past stored forms; a further round is only needed where a numbered name is also somebody's
     genuine name, and then only for the names involved.
     """
+    taken = None if stored is None else materialize(_taken_forms(images, stored))
     numbered = number_rows(images.select("keyword", "pos", "name"), ["keyword", "name"], [F.col("pos")], "turn")
     claims = materialize(numbered.withColumn("skipped", F.lit(0)))
     while True:
-        named = claims.withColumn("stored_name", _numbered_name(F.col("name"), F.col("turn") - 1 + F.col("skipped")))
+        placed = claims.withColumn("form", F.col("turn") - 1 + F.col("skipped"))
+        placed = placed if taken is None else materialize(_past_taken(placed, taken))
+        named = placed.withColumn("stored_name", _numbered_name(F.col("name"), F.col("form")))
         # the earliest claim of a name wins; the losers move on by one form
         first = named.groupBy("keyword", "stored_name").agg(F.min("pos").alias("winner"), F.count("*").alias("claims"))
         contested = first.where("claims > 1").drop("claims")
@@ -169,6 +173,33 @@ def collision_names(images: DataFrame) -> DataFrame:
         claims = materialize(calm.select("keyword", "pos", "name", "turn", "skipped").unionByName(pushed))
 
 
+def _taken_forms(images: DataFrame, stored: DataFrame) -> DataFrame:
+    """``(keyword, name, form)``: the numbers of the forms of the images' names that are stored, with ``form`` less the taken ones below it.
+
+    A form is free at ordinal ``n`` if it has ``n`` free forms below; that many taken forms come before it as have a difference up to ``n``.
+    """
+    given = stored.select("keyword", "name").distinct()
+    numbered = r"^(.*)_([1-9][0-9]{0,17})(\.[^.]*)$"
+    own = given.withColumn("form", F.lit(0).cast("long"))
+    others = given.where(F.col("name").rlike(numbered)).select(
+        "keyword",
+        F.concat(F.regexp_extract("name", numbered, 1), F.regexp_extract("name", numbered, 3)).alias("name"),
+        F.regexp_extract("name", numbered, 2).cast("long").alias("form"),
+    )
+    wanted = images.select("keyword", "name").distinct()
+    forms = own.unionByName(others).join(wanted, ["keyword", "name"], "left_semi")
+    ordered = number_rows(forms, ["keyword", "name"], [F.col("form")], "nth")
+    return ordered.select("keyword", "name", (F.col("form") - F.col("nth") + 1).alias("form"))
+
+
+def _past_taken(claims: DataFrame, taken: DataFrame) -> DataFrame:
+    """``claims`` with ``form`` turned from an ordinal among the free forms of a name into the form itself."""
+    # a claim's number among taken forms and claims, less its turn among the claims alone, is how many taken forms come before
+    both = claims.withColumn("_claim", F.lit(1)).unionByName(taken.withColumn("_claim", F.lit(0)), allowMissingColumns=True)
+    counted = number_rows(both, ["keyword", "name"], [F.col("form"), F.col("_claim")], "nth").where("_claim = 1")
+    return counted.withColumn("form", F.col("form") + F.col("nth") - F.col("turn")).drop("_claim", "nth")
+
+
 def _numbered_name(name, number):
     stem = F.regexp_extract(name, r"^(.*)\.([^.]*)$", 1)
     ending = F.regexp_extract(name, r"^(.*)\.([^.]*)$", 2)

@@ -288,6 +288,28 @@ def collision_names(spark, sf):
     return crawl.collision_names(arrivals).select(F.col("pos").alias("doc_id"), "stored_name")
 
 
+@query("""
+WITH d AS (
+  SELECT doc_id, lang, source, doc_id % 3 = 0 AS earlier,
+         row_number() OVER (PARTITION BY lang, source, doc_id % 3 = 0 ORDER BY doc_id) - 1 AS k FROM documents),
+forms AS (SELECT lang, source, unnest(range(0, count(*)::BIGINT)) AS k FROM d GROUP BY lang, source),
+free AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY k) - 1 AS o FROM forms f
+  WHERE NOT EXISTS (FROM d WHERE earlier AND d.k % 2 = 0 AND d.lang = f.lang AND d.source = f.source AND d.k = f.k))
+SELECT doc_id, CASE WHEN f.k = 0 THEN d.source || '.jpg' ELSE d.source || '_' || f.k || '.jpg' END AS stored_name
+FROM d JOIN free f ON d.lang = f.lang AND d.source = f.source AND d.k = f.o WHERE NOT earlier""")
+def collision_names_stored(spark, sf):
+    """A third of the documents are images of an earlier run, of which every second one is still stored."""
+    docs = table(spark, sf, "documents").select(
+        F.col("lang").alias("keyword"), F.col("doc_id").alias("pos"), F.concat("source", F.lit(".jpg")).alias("name"), "source"
+    )
+    earlier = number_rows(docs.where("pos % 3 = 0"), ["keyword", "source"], [F.col("pos")], "n").where("n % 2 = 1")
+    ending = F.when(F.col("n") == 1, "").otherwise(F.concat(F.lit("_"), F.col("n") - 1))
+    stored = earlier.select("keyword", F.concat("source", ending, F.lit(".jpg")).alias("name"))
+    named = crawl.collision_names(docs.where("pos % 3 <> 0").drop("source"), stored)
+    return named.select(F.col("pos").alias("doc_id"), "stored_name")
+
+
 @query("SELECT doc_id, (n_chars % 4000 + 1)::INTEGER AS width, (doc_id % 3000 + 1)::INTEGER AS height FROM documents")
 def header_dimensions(spark, sf):
     """Headers of five kinds, made from documents: PNG, three of WebP, and JPEG behind a segment that depends on the text."""
