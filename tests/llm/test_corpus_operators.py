@@ -158,6 +158,24 @@ def test_top_k(spark, monkeypatch):
     assert [r.rank for r in few] == [1, 2]
 
 
+@pytest.mark.parametrize("big", [1, 1 << 16])  # the second beyond doubles, within 64 bits
+def test_top_k_of_several_vectors_of_an_id(spark, monkeypatch, big):
+    monkeypatch.setattr(topk, "CANDIDATE_PART", 40)
+    monkeypatch.setattr(topk, "QUERY_PART", 2)
+    draw = random.Random(8)
+    rows = [(i, [float(big * draw.randint(-9, 9)) for _ in range(6)]) for i in [*range(200), *range(0, 200, 5), *range(0, 200, 25), 100, 100]]
+    rows += [rows[0], rows[7]]  # equal rows
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.exact_top_k(frame, F.col("vec_id") % 100 == 0).collect())
+    whole, most, want = [(i, [int(1024 * x) for x in v]) for i, v in rows], (1 << 63) - 1, []
+    for q in (0, 100):
+        asked = [v for i, v in whole if i == q]
+        best = [(max(sum(a * b for a, b in zip(v, c)) for v in asked), i) for i, c in whole if i != q]
+        ranked = sorted(((max(-most, min(most, score)), i) for score, i in best), key=lambda x: (-x[0], x[1]))[:10]
+        want += [(q, n, i, score) for n, (score, i) in enumerate(ranked, 1)]
+    assert got == want
+
+
 def test_top_k_beyond_doubles():
     ids, big = np.array([1, 2, 3]), np.array([[1 << 30, 1], [1 << 30, 2], [-(1 << 30), 0]])
     (query, found, scores), = topk.best_in_cell(ids, big, np.array([9]), np.array([[1 << 30, 1]]), 2)

@@ -8,6 +8,8 @@ reach a query's k-th best score are compacted away before the next block.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -41,7 +43,28 @@ def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def best_in_cell(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """Yield (query id, candidate ids, scores) of each query's k best in the cell, ties to smaller ids."""
+    """Yield (query id, candidate ids, scores) of each query vector's k best in the cell, ties to smaller ids."""
+    for query_id, rows, scores in _best_rows(ids, vectors, query_ids, queries, k):
+        yield query_id, ids[rows], scores
+
+
+def best_by_id(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
+    """As ``best_in_cell`` for query ids that stand together: a candidate row counts once for an id, with its best score over the id's vectors."""
+    found = _best_rows(ids, vectors, query_ids, queries, k)
+    for query_id, group in itertools.groupby(found, lambda x: x[0]):
+        rows, scores = next(group)[1:]
+        for _, more, other in group:
+            rows, scores = np.concatenate([rows, more]), np.concatenate([scores, other])
+            order = np.argsort(-scores, kind="stable")
+            rows, scores = rows[order], scores[order]
+            first = np.sort(np.unique(rows, return_index=True)[1])
+            rows, scores = rows[first], scores[first]
+            best = np.lexsort((ids[rows], -scores))[:k]
+            rows, scores = rows[best], scores[best]
+        yield query_id, ids[rows], scores
+
+
+def _best_rows(ids, vectors, query_ids, queries, k):
     width = max(vectors.shape[1], queries.shape[1])
     vectors, queries = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (vectors, queries))
     top = int(np.abs(vectors).max(initial=0)) * int(np.abs(queries).max(initial=0)) * max(1, width)
@@ -77,7 +100,7 @@ def best_in_cell(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, qu
                 first = np.lexsort((ids[pool], -scores))[:k]
                 best[q] = pool[first], scores[first]
         for query_id, (pool, scores) in zip(query_ids[at : at + len(some)].tolist(), best):
-            yield query_id, ids[pool], scores.astype(np.int64)
+            yield query_id, pool, scores.astype(np.int64)
 
 
 def _best_of_large(ids, vectors, query_ids, queries, k):
@@ -85,7 +108,7 @@ def _best_of_large(ids, vectors, query_ids, queries, k):
     for query_id, query in zip(query_ids.tolist(), queries.tolist()):
         scores = [sum(a * b for a, b in zip(query, vector)) for vector in vectors.tolist()]
         rows = sorted((i for i in range(len(ids)) if ids[i] != query_id), key=lambda i: (-scores[i], ids[i]))[:k]
-        yield query_id, ids[rows], np.array([max(-limit, min(limit, scores[i])) for i in rows], np.int64)
+        yield query_id, np.array(rows, np.int64), np.array([max(-limit, min(limit, scores[i])) for i in rows], np.int64)
 
 
 def exact_top_k(candidates: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -93,25 +116,26 @@ def exact_top_k(candidates: DataFrame, is_query: Column, k: int = 10, vec_id: st
 
     Queries are the rows of ``candidates`` where ``is_query`` holds. Vectors that are null, or hold a null or a non-finite
     component, and rows without an id take no part; missing components of a shorter vector count as zero; a candidate row
-    that is repeated counts each time. Ties go to the smaller id, and scores beyond 64 bits are cut to that range. An empty table, or one without queries, gives no rows.
+    that is repeated counts each time. A query id with several vectors asks with all of them: each candidate row counts once, with its
+    best score; its vectors are searched in one row of cells. Ties go to the smaller id, and scores beyond 64 bits are cut to that range. An empty table, or one without queries, gives no rows.
     """
     spark = candidates.sparkSession
     numbers = integer_vectors(candidates, vec_id, embedding)
-    asked = integer_vectors(candidates.where(is_query), vec_id, embedding).dropDuplicates(["vec_id"])
+    asked = integer_vectors(candidates.where(is_query), vec_id, embedding).dropDuplicates(["vec_id", "v"])
     n, m = numbers.count(), asked.count()
     deal = int(spark.conf.get("spark.sql.shuffle.partitions"))
     candidate_parts, query_parts = max(-(-n // CANDIDATE_PART), min(deal, n // 1024 + 1)), -(-m // QUERY_PART)
     if not m:
         query_parts = 1
-    part = lambda parts: F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int")
+    part = lambda parts, *by: F.pmod(F.xxhash64(*by), F.lit(parts)).cast("int")
     every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    left = numbers.withColumn("cp", part(candidate_parts)).withColumn("qp", every(query_parts))
-    right = asked.withColumn("qp", part(query_parts)).withColumn("cp", every(candidate_parts))
+    left = numbers.withColumn("cp", part(candidate_parts, "vec_id", "v")).withColumn("qp", every(query_parts))
+    right = asked.withColumn("qp", part(query_parts, "vec_id")).withColumn("cp", every(candidate_parts))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
         query, found, score = [], [], []
         if len(left) and len(right):
-            for query_id, ids, scores in best_in_cell(*_matrix(left), *_matrix(right), k):
+            for query_id, ids, scores in best_by_id(*_matrix(left), *_matrix(right), k):
                 query.append(np.full(len(ids), query_id))
                 found.append(ids)
                 score.append(scores)
