@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -89,3 +90,106 @@ def top_k(rows, k=10):
 
 def sha(text):
     return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
+
+
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def spelling_counts(rows, min_letters=6, min_count=5, drop_every=199):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in RUN.findall(text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if drop_every and h % drop_every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= min_letters:
+                counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= min_count}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling_groups(counts, ratio=5):
+    """(word, form, root, n, n_near, form_n), by deletion neighbourhoods."""
+    holes = {}
+    for w in counts:
+        for i in range(len(w)):
+            holes.setdefault(w[:i] + "*" + w[i + 1 :], set()).add(w)
+    near = {w: set() for w in counts}
+    for same in holes.values():
+        for w in same:
+            near[w] |= same - {w}
+    for w in counts:
+        for i in range(len(w)):
+            short = w[:i] + w[i + 1 :]
+            if short in counts:
+                near[w].add(short)
+                near[short].add(w)
+    form = {}
+    for w in counts:
+        if near[w]:
+            best = min(near[w], key=lambda x: (-counts[x], x))
+            if counts[best] >= ratio * counts[w]:
+                form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, form.get(w), root(w), n, len(near[w]), counts[form[w]] if w in form else None) for w, n in counts.items()}
+
+
+def collocations(rows, min_count=10, top=2000, covered=50):
+    """(lang, rank, phrase, a, l, r, n, score) of (lang, text) rows."""
+    f, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            own = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(own)
+            for size in (1, 2, 3):
+                f.update((lang, tuple(own[i : i + size])) for i in range(len(own) - size + 1))
+    candidates = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= min_count}
+    longest = Counter()
+    for (lang, w), a in candidates.items():
+        if len(w) == 3:
+            for inner in ((lang, w[:2]), (lang, w[1:])):
+                longest[inner] = max(longest[inner], a)
+    out = []
+    for (lang, w), a in candidates.items():
+        if 100 * longest[(lang, w)] >= covered * a:
+            continue
+        cuts = [(1000000 * a * a // (f[(lang, w[:k])] * f[(lang, w[k:])]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        out.append((lang, -score, -a, " ".join(w).encode(), f[(lang, w[:k])], f[(lang, w[k:])]))
+    ranks, found = Counter(), set()
+    for lang, score, a, phrase, left, right in sorted(out):
+        ranks[lang] += 1
+        if ranks[lang] <= top:
+            found.add((lang, ranks[lang], phrase.decode(), -a, left, right, total[lang], -score))
+    return found
+
+
+def remove_repeats(rows, length=200):
+    """(doc_id, n_bytes, n_removed, n_spans, sha of what is kept) of (doc_id, text) rows."""
+    data = [(doc_id, (text or "").encode()) for doc_id, text in rows]
+    seen = Counter(t[i : i + length] for _, t in data for i in range(len(t) - length + 1))
+    out = []
+    for doc_id, t in data:
+        gone, until = bytearray(len(t)), 0
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                for j in range(max(i, until), i + length):
+                    gone[j] = 1
+                until = i + length
+        spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(t)))
+        out.append((doc_id, len(t), sum(gone), spans, sha(bytes(b for b, g in zip(t, gone) if not g))))
+    return out

@@ -6,10 +6,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from weftloom.llm import bpe, chat, langid, licenses, lm, mixing, quality, token_counts
+from weftloom.llm import bpe, chat, collocations, langid, licenses, lm, mixing, quality, spelling, suffix_dedup, token_counts
 from weftloom.llm.batches import bounded_batches
 from weftloom.llm.jaccard_join import jaccard_components
 from weftloom.llm.topk import exact_top_k
+from weftloom.session import materialize
 from workloads.base import Registry, table as read_table
 
 query = Registry()
@@ -198,3 +199,61 @@ WHERE rank <= 10"""
 @query(sql=TOP_K_SQL)
 def op10_exact_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return exact_top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+# --- 11: spelling variants ---
+
+
+@query()
+def op11_spelling_groups(spark: SparkSession, sf: str) -> DataFrame:
+    counted = materialize(spelling.count_words(table(spark, sf, "documents"), drop_every=spelling.DROP_EVERY))
+    return spelling.spelling_groups(counted)
+
+
+# --- 12: collocations ---
+
+COLLOCATIONS_SQL = rf"""
+WITH pieces AS MATERIALIZED (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(piece, '[^\x20\x09]+') AS words
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+grams AS (
+  SELECT lang, unnest(list_concat(words, list_transform(range(1, len(words)), lambda i: array_to_string(words[i:i + 1], ' ')),
+                                  list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')))) AS phrase
+  FROM pieces),
+f AS MATERIALIZED (
+  SELECT lang, phrase, string_split(phrase, ' ') AS w, len(string_split(phrase, ' ')) AS size, count(*) AS a FROM grams GROUP BY ALL),
+sizes AS (SELECT lang, sum(len(words))::BIGINT AS n FROM pieces GROUP BY lang),
+candidates AS MATERIALIZED (SELECT * FROM f WHERE a >= {collocations.MIN_COUNT} AND size > 1),
+cuts AS (
+  SELECT c.*, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM candidates c, (VALUES (1), (2)) AS ks(k) WHERE k < size),
+heads AS MATERIALIZED (SELECT c.*, h.a AS l FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head),
+scored AS (
+  SELECT c.*, t.a AS r, (1000000::HUGEINT * c.a * c.a // (l::HUGEINT * t.a))::BIGINT AS score
+  FROM heads c JOIN f t ON t.lang = c.lang AND t.phrase = c.tail),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, inner_phrase, max(a) AS most
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS inner_phrase FROM candidates WHERE size = 3)
+  GROUP BY ALL),
+kept AS (
+  SELECT s.* FROM lowest s LEFT JOIN longer g ON g.lang = s.lang AND g.inner_phrase = s.phrase
+  WHERE g.most IS NULL OR 100 * g.most < {collocations.COVERED_PERCENT} * s.a)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept) JOIN sizes USING (lang)
+WHERE rank <= {collocations.TOP}"""
+
+
+@query(sql=COLLOCATIONS_SQL)
+def op12_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf, "documents"))
+
+
+# --- 13: suffix-array deduplication ---
+
+
+@query()
+def op13_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf, "documents"))

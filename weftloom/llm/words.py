@@ -87,13 +87,15 @@ def _pieces(data: np.ndarray, ends: np.ndarray, blank: np.ndarray) -> Iterator[t
 
 
 def word_hashes(
-    column: pa.Array, lower: bool = False, punctuation: bool = False
+    column: pa.Array, lower: bool = False, punctuation: bool = False, blank: np.ndarray | None = None
 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Yield (rows, hashes, spans) of consecutive words; rows ascend over all yields and may continue in the next one.
 
-    Spans are the words' byte ranges in their texts. With ``punctuation``, ASCII punctuation separates words like white space.
+    Spans are the words' byte ranges in their texts. With ``punctuation``, ASCII punctuation separates words like white space;
+    ``blank`` names the separating bytes (256 flags, none of them above 127) instead.
     """
-    blank = _PUNCTUATION if punctuation else _SPACE
+    if blank is None:
+        blank = _PUNCTUATION if punctuation else _SPACE
     data, ends = text_buffers(column)
     for group in _pieces(data, ends, blank):
         rows, starts, stops = group[:, 0], group[:, 1], group[:, 2]
