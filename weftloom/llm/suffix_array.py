@@ -116,16 +116,21 @@ def _names(symbols: np.ndarray, places: np.ndarray, ordered: np.ndarray) -> np.n
 def _rank(names: np.ndarray, left: np.ndarray, span: int = 1) -> np.ndarray:
     """Ranks of the suffixes of a string of names, of which ``left`` follow before its text is closed.
 
-    Names of ``span`` substrings are paired into names of twice as many and sorted again, until they tell all apart or reach the end.
+    Names of ``span`` substrings are joined by three (by two, if there are too many for 21 bits each) into names of longer stretches and
+    sorted again, until they tell all apart or reach the end.
     """
     if span > left.max(initial=0):
         return names
-    ahead = np.zeros_like(names)
-    ahead[:-span] = np.where(left[:-span] >= span, names[span:], 0)
-    distinct, paired = np.unique((names << 32) | ahead, return_inverse=True)
-    if len(distinct) == len(names):
-        return paired
-    return _rank(paired + 1, left, 2 * span)
+    times, bits = (3, 21) if names.max() < 1 << 21 else (2, 31)
+    joined = names << (bits * (times - 1))
+    for i in range(1, times):
+        step = i * span
+        joined[:-step] |= np.where(left[:-step] >= step, names[step:], 0) << (bits * (times - 1 - i))
+    order = np.argsort(joined)
+    ordered = joined[order]
+    ranks = np.empty_like(names)
+    ranks[order] = np.cumsum(np.r_[True, ordered[1:] != ordered[:-1]])
+    return _rank(ranks, left, times * span)
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
