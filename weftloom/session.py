@@ -50,6 +50,17 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark)}/weftloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
+def tidy_driver(spark: SparkSession, share: float = 0.35) -> None:
+    """Have the driver's JVM collect garbage once that fills ``share`` of its heap.
+
+    Plans, broadcasts and shuffles of ended jobs are only let go of by such a collection; long series of jobs else grow the heap to its limit
+    and leave shuffle files on the executors' disks.
+    """
+    runtime = spark._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() - runtime.freeMemory() > share * runtime.maxMemory():
+        spark._jvm.java.lang.System.gc()
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -59,6 +70,7 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark)
     df.write.parquet(path)
+    tidy_driver(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
