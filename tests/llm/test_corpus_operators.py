@@ -64,6 +64,14 @@ def test_jaccard_join(spark, seed, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute.jaccard_components(list(enumerate(texts)))
 
 
+def test_jaccard_join_of_repeated_rows(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    texts = [base, base + " x", " ".join(f"v{i}" for i in range(60)), base + " y"]
+    rows = spark.createDataFrame([(min(i, 2), t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = jaccard_join.jaccard_components(rows.crossJoin(spark.range(3_000).select()))
+    assert {tuple(r) for r in found.groupBy("doc_id", "component_id").count().collect()} == {(0, 0, 3_000), (1, 0, 3_000), (2, 0, 6_000)}
+
+
 def test_jaccard_join_edges(spark):
     text = "a b c d e f g"
     docs = documents(spark, [text, text, text, "other words are in this one", "other words are in this one"], [5, 5, None, 5, 9])
@@ -111,6 +119,18 @@ def test_mixing_rates_and_distribution(spark):
     assert got.select("doc_id", "mix_copy").exceptAll(mixing.mix(docs, weights, epochs=2.0).select("doc_id", "mix_copy")).isEmpty()
 
 
+def test_mixing_rows_without_an_id_of_their_own(spark):
+    names = ["doc_id", "source", "steps", "_source", "mix_copy", "mix_key", "row", "identity", "number", "copies", "u"]
+    rows = [(None if i % 2 else 7, "a" if i % 10 else "b", *["x"] * 9) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, ", ".join(f"{n} {'long' if n == 'doc_id' else 'string'}" for n in names))
+    found = mixing.mix(docs.repartition(8), spark.createDataFrame([("a", 1.0), ("b", 1.0)], "source string, weight double"))
+    found = found.toPandas()
+    assert list(found.columns) == [*(n for n in names if n not in ("mix_copy", "mix_key")), "mix_copy", "mix_key"]
+    for count in found.groupby("source").size():
+        assert abs(count - 10_000) < 5 * 100
+    assert found.mix_key.is_unique and set(found.steps) == {"x"}
+
+
 def test_mixing_edges(spark, monkeypatch):
     docs = documents(spark, [None, "", "a", "a"], [1, 1, None, 2])
     usual = sorted(map(str, mixing.mix(docs).collect()))

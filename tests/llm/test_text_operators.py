@@ -54,6 +54,21 @@ def test_words_equal_regex(monkeypatch, piece):
 # --- 1 ---
 
 
+def test_rejection_of_unlearned_languages_and_junk(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang", "text")
+    learned = docs.where("lang <> 'fr'")
+    model = langid.train(learned)
+    draw = random.Random(5)
+    letters = lambda alphabet: " ".join("".join(draw.choice(alphabet) for _ in range(draw.randint(2, 9))) for _ in range(60))
+    strange = [letters("bcdfghjklmnpqrstvwxz") for _ in range(40)] + [letters("αβγδεζηικλμνξοπρστυφχω") for _ in range(40)]
+    strange += [letters("人生而自由在尊严和权利上一律平等") for _ in range(20)] + [letters("abcdefghijklmnopqrstuvwxyz") for _ in range(40)]
+    junk = spark.createDataFrame([(i, t) for i, t in enumerate(strange)], "doc_id long, text string")
+    share = lambda df: langid.predict(df, model).agg(F.avg(F.col("accepted").cast("int"))).first()[0]
+    assert share(learned.where(langid.held_out())) >= 0.95
+    assert share(docs.where("lang = 'fr'")) <= 0.1
+    assert share(junk) <= 0.1
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     model = langid.train(docs)

@@ -21,14 +21,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weftloom.llm import words
 from weftloom.llm.graph import components
-from weftloom.session import discard, materialize
+from weftloom.session import broadcast_if_small, discard, materialize
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 ORDER_HINTS = 100_000  # most frequent shingles that are ordered by count; the others come first, by hash
 STAR_ROUNDS = 2
 BITMAP_WORDS = 8  # 64 bits each
-BROADCAST_IDS = 1_000_000  # ids of 8 bytes; more are joined by a shuffle
+BROADCAST_IDS = 200_000  # ids of 8 bytes; more are joined by a shuffle
 COLUMN_BLOCKS = 8
 _BATCH_SHINGLES = 2_000_000
 _SEEN_IN_BATCH, _HINT_COUNT = 3, 20
@@ -256,6 +256,7 @@ def jaccard_components(
         keyed.where("n > 0 and doc_id is not null").join(classes, key).select("doc_id", "n", "node")
     )  # rows of one key may be very many: adaptive execution splits such a side of a join
 
+    docs = _once(docs, keyed)
     hints = (
         docs.select("text").mapInArrow(_frequent(width), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
         .where(F.col("n") >= _HINT_COUNT).orderBy(F.desc("n"), "shingle").limit(ORDER_HINTS).toArrow()
@@ -293,6 +294,16 @@ def jaccard_components(
     return named.unionByName(single).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def _once(docs: DataFrame, keyed: DataFrame) -> DataFrame:
+    """``docs`` with rows that agree in id and text folded into one; only rows of repeated ids are shuffled."""
+    repeated = materialize(keyed.where("n > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return docs
+    several = broadcast_if_small(repeated)
+    once = materialize(docs.join(several, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]))
+    return docs.join(several, "doc_id", "left_anti").unionByName(once)
+
+
 def _placed(postings: DataFrame, label: DataFrame | None) -> DataFrame:
     """Postings with their node's component so far, of shingles that meet in several components."""
     if label is None:

@@ -5,6 +5,10 @@ buckets. The mean of their embeddings goes through one linear layer. Both are tr
 stochastic gradient descent in numpy on a bounded sample; the layer is then folded into the embeddings, so that a prediction adds up
 one row of language scores for each subword. Scores are probabilities after temperature scaling on
 documents that were kept out of the training; below the threshold found there a prediction is rejected.
+
+A softmax is sure of foreign text as well. So a prediction is also rejected if the text's subwords are not typical of the predicted language: the mean
+logarithm of their frequency in it. The limit comes from documents kept out of the training, each judged once with its
+language and once as if that had not been learned.
 """
 
 from __future__ import annotations
@@ -25,6 +29,9 @@ EPOCHS = 6
 LEARNING_RATE = 2.0
 BATCH = 16
 MISSED = 0.001  # share of right predictions that the rejection threshold may cost
+FOREIGN = 0.05  # share of documents of an unlearned language that may pass as typical,
+UNTYPICAL = 0.01  # unless more than this share of the learned ones would be lost
+RARE = 1e-7  # frequency of a subword that a language doesn't have
 UNKNOWN = "und"
 _PIECE = 200_000  # characters handled at once
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], np.uint64)
@@ -38,6 +45,8 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float = 1.0
     threshold: float = 0.0
+    typical: np.ndarray | None = None  # bucket by language, logarithm of its frequency
+    least_typical: float = -np.inf
 
     def probabilities(self, mean_scores: np.ndarray) -> np.ndarray:
         return softmax((mean_scores + self.bias) / self.temperature)
@@ -186,12 +195,20 @@ def fit(bags: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Langua
             bias -= rate * 0.1 * error.sum(axis=0)
             # embeddings have tiny weights each, so they take the step for the sum of the batch
             np.subtract.at(table, ids, rate * len(batch) * weights * back[owner])
-    model = LanguageModel(languages, table @ layer, bias)
+    share = np.zeros((BUCKETS, len(languages)))
+    for i in used:
+        share[bags[i][1], label[i]] += bags[i][2]
+    typical = np.log(share / np.maximum(share.sum(axis=0), 1e-12) + RARE).astype(np.float32)
+    model = LanguageModel(languages, (table @ layer).astype(np.float32), bias, typical=typical)
     return calibrate(model, [bags[i] for i in (kept_out if len(kept_out) else used)])
 
 
 def calibrate(model: LanguageModel, bags: list[tuple[str, np.ndarray, np.ndarray]]) -> LanguageModel:
-    """Temperature of least log loss, and the highest threshold up to 1/2 that loses ``MISSED`` of the right predictions at most."""
+    """Temperature of least log loss, the threshold of the scores and the limit of what is typical.
+
+    The threshold is the highest up to 1/2 that loses ``MISSED`` of the right predictions at most. The limit lets ``FOREIGN`` of the documents pass
+    whose own language is left out, or loses ``UNTYPICAL`` of the learned ones, whichever is lower.
+    """
     known = [bag for bag in bags if bag[0] in model.languages]
     if not known:
         return model
@@ -203,12 +220,20 @@ def calibrate(model: LanguageModel, bags: list[tuple[str, np.ndarray, np.ndarray
     chances = softmax(mean / temperature)
     right = np.sort(chances.max(axis=1)[chances.argmax(axis=1) == truth])
     threshold = float(min(0.5, right[int(MISSED * len(right))])) if len(right) else 0.0
-    return LanguageModel(model.languages, model.scores, model.bias, temperature, threshold)
+    least = -np.inf
+    if model.typical is not None:
+        typical = np.stack([(model.typical[ids] * weights[:, None]).sum(axis=0) for _, ids, weights in known])
+        least = float(np.quantile(typical[at, truth], UNTYPICAL))
+        if len(model.languages) > 1:
+            others = np.where(np.arange(len(model.languages)) == truth[:, None], -np.inf, mean)
+            least = min(least, float(np.quantile(typical[at, others.argmax(axis=1)], 1 - FOREIGN)))
+    return LanguageModel(model.languages, model.scores, model.bias, temperature, threshold, model.typical, least)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Add ``lang_pred``, ``score`` (0 to 1) and ``accepted`` to the columns ``keep``, from the whole text alone.
 
+    Accepted are predictions whose score reaches the model's threshold and whose text is as typical of the language as its limit asks.
     A text that is null, empty or without a letter gets ``und`` with score 0 and isn't accepted; so does any text if
     the model knows no language. Ties go to the first language by name. Repeated rows are treated alike.
     """
@@ -218,25 +243,32 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tup
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        size = min(_PIECE, max(10_000, 16_000_000 // max(1, len(model.languages))))
+        number = len(model.languages)
+        size = min(_PIECE, max(10_000, 8_000_000 // max(1, number)))
+        columns_of = model.scores if model.typical is None else np.concatenate([model.scores, model.typical], axis=1)
         for batch in batches:
             for start in range(0, len(batch), 1000):
                 part = batch.slice(start, 1000)
                 columns, texts = part.columns[: len(keep)], part.column(at)
-                total, count = np.zeros((len(part), len(model.languages))), np.zeros(len(part))
-                for rows, buckets in subwords(texts.to_pylist(), size) if model.languages else ():
+                total, count = np.zeros((len(part), columns_of.shape[1])), np.zeros(len(part))
+                for rows, buckets in subwords(texts.to_pylist(), size) if number else ():
                     # the rows of a piece are neighbours; only they are summed
                     low, n = int(rows.min(initial=len(part))), int(rows.max(initial=-1)) + 1
                     if n > low:
-                        total[low:n] += _sum_rows(rows - low, model.scores[buckets], n - low)
+                        total[low:n] += _sum_rows(rows - low, columns_of[buckets], n - low)
                         count[low:n] += np.bincount(rows - low, minlength=n - low)
                 known = count > 0
                 language, score = np.full(len(part), UNKNOWN, object), np.zeros(len(part))
+                accepted = np.zeros(len(part), bool)
                 if known.any():
-                    chances = model.probabilities(total[known] / count[known, None])
-                    language[known] = np.array(model.languages, object)[chances.argmax(axis=1)]
+                    mean = total[known] / count[known, None]
+                    chances = model.probabilities(mean[:, :number])
+                    best = chances.argmax(axis=1)
+                    language[known] = np.array(model.languages, object)[best]
                     score[known] = chances.max(axis=1)
-                accepted = known & (score >= model.threshold)
+                    accepted[known] = score[known] >= model.threshold
+                    if model.typical is not None:
+                        accepted[known] &= mean[np.arange(len(best)), number + best] >= model.least_typical
                 yield pa.RecordBatch.from_arrays(
                     [*columns, pa.array(language, pa.string()), pa.array(score), pa.array(accepted)],
                     [*keep, "lang_pred", "score", "accepted"],

@@ -56,6 +56,24 @@ def distribution_table(rates: DataFrame) -> DataFrame:
     return summed.groupBy("source").agg(F.sort_array(F.collect_list("upto")).alias("steps"))
 
 
+def _numbered(docs: DataFrame, doc_id: str) -> DataFrame:
+    """``docs`` as ``(row, source, id, number)``; rows without an id or with a repeated one have a number of their own.
+
+    The numbers are written down, so that they stay the same when executors are lost.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "source", F.col(doc_id).cast("string").alias("id"))
+    repeated = materialize(rows.where("id is not null").groupBy("id").count().where("count > 1").select("id"))
+    plain, odd = rows.where("id is not null"), rows.where("id is null")
+    if not repeated.isEmpty():
+        several = broadcast_if_small(repeated)
+        odd = odd.unionByName(plain.join(several, "id", "left_semi").select(*rows.columns))
+        plain = plain.join(several, "id", "left_anti").select(*rows.columns)
+    elif odd.isEmpty():
+        return plain.withColumn("number", F.lit(None).cast("long"))
+    odd = materialize(odd.withColumn("number", F.monotonically_increasing_id()))
+    return plain.withColumn("number", F.lit(None).cast("long")).unionByName(odd)
+
+
 def mix(
     docs: DataFrame, weights: DataFrame | None = None, epochs: float = 1.0, size: Column | None = None,
     seed: str = SEED, doc_id: str = "doc_id",
@@ -63,22 +81,24 @@ def mix(
     """The repeated documents in a global random order: all columns of ``docs``, then ``mix_copy`` (from 1) and ``mix_key``.
 
     A document's number of copies is the least k whose cumulative probability exceeds its uniform number. The result
-    is dealt out and sorted by ``mix_key``, a hash of seed, id and copy. Documents of a null source form a source of
-    their own; rows with one id, and those without, get the same number of copies; an empty table gives no rows.
+    is dealt out and sorted by ``mix_key``, a hash of seed, id and copy. Rows without an id, and those that share one, each get a number, which
+    goes into both hashes: they are drawn and dealt one by one. Documents of a null source form a source of
+    their own; an empty table gives no rows. Columns ``mix_copy`` and ``mix_key`` of ``docs`` are replaced, all other names may be used.
     """
-    columns = docs.columns
+    columns = [name for name in docs.columns if name not in ("mix_copy", "mix_key")]
     steps = materialize(distribution_table(target_rates(docs, weights, epochs, size)).withColumnRenamed("source", "_source"))
+    rows = _numbered(docs.select(*columns), doc_id)
+    identity = F.when(F.col("number").isNull(), F.col("id")).otherwise(F.concat_ws(":", F.lit("row"), "id", "number"))
+    drawn = rows.select("row", "source", identity.alias("identity"))
     small = broadcast_if_small(steps)
     same = F.col("source").eqNullSafe(F.col("_source"))
     if small is steps:  # too many to broadcast; one source may still hold most rows, so both sides are salted
         small = steps.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        same &= F.pmod(F.xxhash64(doc_id), F.lit(SALTS)) == F.col("_at")
-    joined = docs.join(small, same)
-    u = uniform(F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("-")))
-    copies = F.size(F.filter("steps", lambda p: p <= F.col("_u")))
-    counted = joined.withColumn("_u", u).withColumn("_copies", copies).where("_copies > 0")
-    repeated = counted.select(*columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("mix_copy"))
-    keyed = repeated.withColumn(
-        "mix_key", uniform(F.lit(seed), F.lit("order"), F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.col("mix_copy").cast("string"))
-    )
-    return keyed.repartition("mix_key").sortWithinPartitions("mix_key", doc_id, "mix_copy")
+        same &= F.pmod(F.xxhash64("identity"), F.lit(SALTS)) == F.col("_at")
+    u = uniform(F.lit(seed), "identity")
+    copies = F.size(F.filter("steps", lambda p: p <= F.col("u")))
+    counted = drawn.join(small, same).withColumn("u", u).withColumn("copies", copies).where("copies > 0")
+    repeated = counted.select("row", "identity", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("mix_copy"))
+    keyed = repeated.withColumn("mix_key", uniform(F.lit(seed), F.lit("order"), "identity", F.col("mix_copy").cast("string")))
+    dealt = keyed.repartition("mix_key").sortWithinPartitions("mix_key", "identity", "mix_copy")
+    return dealt.select("row.*", "mix_copy", "mix_key")
