@@ -162,6 +162,29 @@ def test_pivot_cells_lose_no_pair(spark, threshold, centred):
     assert len(got) == len(want) and {(r.keyword, r.a, r.b) for r in got} == want
 
 
+def test_vector_cells_spare_most_pairs(spark):
+    rows = clustered_vectors(11, 1500, 40)
+    index = VectorIndex(0.97, cell_rows=60, shell_rows=30)
+    assigned = index.assign(vector_items(spark, rows)).collect()
+    stored, sent = {}, {}
+    for r in assigned:
+        place = r.keyword, r.homes[0]
+        stored[place] = stored.get(place, 0) + 1
+        for cell in r.probes:
+            if cell > r.homes[0]:
+                sent[r.keyword, cell] = sent.get((r.keyword, cell), 0) + 1
+    compared = sum(n * (n - 1) // 2 + n * sent.get(place, 0) for place, n in stored.items())
+    sizes = {}
+    for k, _, _ in rows:
+        sizes[k] = sizes.get(k, 0) + 1
+    assert 4 * compared <= sum(n * (n - 1) // 2 for n in sizes.values())
+    vectors = {i: np.array(v) / np.linalg.norm(v) for _, i, v in rows}
+    pivots = index._pivots(vector_items(spark, rows))
+    for r in assigned:  # nothing is sent to a pivot out of reach
+        away = np.linalg.norm(pivots[r.keyword] - vectors[r.image_id], axis=1)
+        assert all(away[cell // simjoin.MAX_SHELLS] - away.min() <= 2 * index.radius for cell in r.probes)
+
+
 @pytest.mark.parametrize("portions", [Portions(), SMALL])
 @pytest.mark.parametrize("pivot_rows", [4096, 30])
 def test_embedding_layer_with_hot_cells(spark, portions, pivot_rows):
@@ -291,6 +314,30 @@ def test_ssim_blocks_lose_no_pair(spark, index):
     assert len(got) == 4 * 36 and all(r.a % 4 == r.b % 4 and r.a < r.b for r in got)
 
 
+def test_structure_bounds_hold_and_spare_rasters(spark):
+    rng = np.random.default_rng(4)
+    shapes = [picture(i) for i in range(40, 70)]
+    near = [(shapes[i].astype(int) + rng.integers(-5, 6, shapes[i].shape)).clip(0, 255).astype(np.uint8) for i in range(10)]
+    faded = [(shapes[0] * x).astype(np.uint8) for x in (0.2, 0.5, 0.95)] + [np.full((256, 256), x, np.uint8) for x in (0, 255)]
+    noise = [rng.integers(0, 256, (256, 256)).astype(np.uint8)]
+    gray = lambda p: p if p.ndim == 2 else np.rint(images.resize(p.mean(axis=2), 256)).clip(0, 255).astype(np.uint8)
+    rasters = [gray(p) for p in shapes + near + faded + noise]
+    summaries = np.stack([images.window_summary(p) for p in rasters])
+    bounds = images.structure_bounds(summaries, summaries)
+    for i in range(0, len(rasters), 3):
+        for j in range(len(rasters)):
+            assert images.structural_similarity(rasters[i], rasters[j]) <= bounds[i, j]
+    items = spark.createDataFrame([("k", i, bytearray(p.tobytes())) for i, p in enumerate(rasters)], "keyword string, image_id long, gray binary")
+    index = StructureIndex(0.92)
+    assigned = index.assign(items)
+    possible = index.possible(simjoin.home_rows(assigned, "gray"), simjoin.probe_rows(assigned, "gray")).count()
+    found = {(r.a, r.b) for r in simjoin.similar_pairs(items, index).collect()}
+    assert possible <= 0.1 * len(rasters) * (len(rasters) - 1) / 2
+    assert found == {
+        (i, j) for i in range(len(rasters)) for j in range(i + 1, len(rasters)) if images.structural_similarity(rasters[i], rasters[j]) > 0.92
+    }
+
+
 def test_full_cascade_on_pictures(spark):
     a, b, c = picture(5), picture(6), picture(7)
     noisy = (b.astype(int) + np.random.default_rng(1).integers(-3, 4, b.shape)).clip(0, 255).astype(np.uint8)

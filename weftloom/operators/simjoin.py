@@ -3,7 +3,8 @@
 Each index turns an image into cells: ``homes``, the cells it is stored in, and ``probes``, the
 cells in which an image similar to it may be stored (``assign``, cheap to evaluate again). Two images are compared only where a cell of
 one meets a cell of the other, and every similar pair ``a < b`` is reported exactly once: ``a`` at
-home, ``b`` probing (``match``, which also names the cell). No index is approximate; a poor choice of cells only costs time.
+home, ``b`` probing (``match``, which also names the cell); where all pairs are wanted, each unordered pair of places is
+looked at once (``pairs``). No index is approximate; a poor choice of cells only costs time.
 """
 
 from __future__ import annotations
@@ -22,11 +23,13 @@ from weftloom.session import materialize
 KEY = ["keyword", "image_id"]
 PAIR_SCHEMA = "keyword string, cell {cell}, a long, b long, score double"
 SLACK = 1e-9
+DISTANCE_SLACK = 1e-6  # of distances that come from cosines: near 0 the root makes 1e-16 into 1e-8
+MAX_SHELLS = 64
 
 
-def _one_cell(items: DataFrame, feature: str) -> DataFrame:
+def _one_cell(items: DataFrame, *features: str) -> DataFrame:
     only = F.array(F.lit(0))
-    return items.select(*KEY, feature).withColumn("homes", only).withColumn("probes", only)
+    return items.select(*KEY, *features).withColumn("homes", only).withColumn("probes", only)
 
 
 def _meet(homes: DataFrame, probes: DataFrame, feature: str) -> DataFrame:
@@ -44,11 +47,12 @@ def _spread(rows: DataFrame, own_blocks: str, other_blocks: str, own: str, other
 
 
 def _compare_in_blocks(
-    homes: DataFrame, probes: DataFrame, feature: str, block_rows: int, score, nearest_only: bool, large_block_rows: int | None = None
+    homes: DataFrame, probes: DataFrame, feature: str, block_rows: int, score, nearest_only: bool, large_block_rows: int | None = None,
+    in_order: bool = True,
 ) -> DataFrame:
     """Compare home and probe rows of each cell in tasks of about ``block_rows`` × ``block_rows``.
 
-    A cell larger than that, however hot, is cut into blocks on both sides. Every row is sent to all
+    With ``in_order``, only pairs whose home row has the smaller id. A cell larger than that, however hot, is cut into blocks on both sides. Every row is sent to all
     blocks of the other side, so cells of many blocks may use ``large_block_rows`` instead.
     """
     rows_of = F.when(F.count("*") > 32 * block_rows, large_block_rows or block_rows).otherwise(block_rows)
@@ -70,20 +74,53 @@ def _compare_in_blocks(
         at_home = table.column("at_home").to_numpy()
         ids = table.column("image_id").to_numpy()
         home, probe = np.flatnonzero(at_home), np.flatnonzero(~at_home)
-        i, j, s = score(table.column("feature"), home, probe, ids[home][:, None] < ids[probe][None, :])
+        wanted = ids[home][:, None] < ids[probe][None, :] if in_order else np.ones((len(home), len(probe)), bool)
+        i, j, s = score(table.column("feature"), home, probe, wanted)
         a, b = ids[home][i], ids[probe][j]
         if nearest_only and len(a):
             order = np.lexsort((a, b))
             first = order[np.r_[True, b[order][1:] != b[order][:-1]]]
             a, b, s = a[first], b[first], s[first]
-        keyword = pa.array([table.column("keyword")[0].as_py()] * len(a), pa.string())
-        cell = pa.array([table.column("cell")[0].as_py()] * len(a), table.schema.field("cell").type)
-        return pa.table({"keyword": keyword, "cell": cell, "a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "score": pa.array(s, pa.float64())})
+        return _pair_table(table, a, b, s)
 
-    return rows.groupBy("keyword", "cell", "home_block", "probe_block").applyInArrow(
-        compare, PAIR_SCHEMA.format(cell=homes.schema["cell"].dataType.simpleString())
+    return rows.groupBy("keyword", "cell", "home_block", "probe_block").applyInArrow(compare, _pair_schema(homes))
+
+
+def _pair_schema(rows: DataFrame) -> str:
+    return PAIR_SCHEMA.format(cell=rows.schema["cell"].dataType.simpleString())
+
+
+def _pair_table(table: pa.Table, a: np.ndarray, b: np.ndarray, s: np.ndarray) -> pa.Table:
+    keyword = pa.array([table.column("keyword")[0].as_py()] * len(a), pa.string())
+    cell = pa.array([table.column("cell")[0].as_py()] * len(a), table.schema.field("cell").type)
+    pairs = [pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())]
+    return pa.table([keyword, cell, *pairs, pa.array(s, pa.float64())], ["keyword", "cell", "a", "b", "score"])
+
+
+def _compare_inside(rows: DataFrame, feature: str, block_rows: int, score, large_block_rows: int | None = None) -> DataFrame:
+    """Compare the rows of each cell with each other, every unordered pair of blocks in one task.
+
+    A row of block i goes to the tasks {i, 0}, {i, 1} ... of its cell, half as many places as if homes and probes were kept apart.
+    """
+    rows_of = F.when(F.count("*") > 32 * block_rows, large_block_rows or block_rows).otherwise(block_rows)
+    blocks = rows.groupBy("keyword", "cell").agg(F.ceil(F.count("*") / rows_of).cast("int").alias("blocks"))
+    dealt = (
+        rows.join(blocks, ["keyword", "cell"])
+        .select("keyword", "cell", "image_id", F.col(feature).alias("feature"), "blocks", F.pmod(F.xxhash64("image_id"), F.col("blocks")).cast("int").alias("own"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("keyword", "cell", "image_id", "feature", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     )
 
+    def compare(table: pa.Table) -> pa.Table:
+        ids, own = table.column("image_id").to_numpy(), table.column("own").to_numpy()
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        home, probe = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        wanted = ids[home][:, None] < ids[probe][None, :] if low == high else np.ones((len(home), len(probe)), bool)
+        i, j, s = score(table.column("feature"), home, probe, wanted)
+        return _pair_table(table, ids[home][i], ids[probe][j], s)
+
+    return dealt.groupBy("keyword", "cell", "low", "high").applyInArrow(compare, _pair_schema(rows))
+
 
 @dataclass(frozen=True)
 class HammingIndex:
@@ -135,7 +172,7 @@ class HammingIndex:
 
     def match(self, homes: DataFrame, probes: DataFrame, nearest_only: bool = False) -> DataFrame:
         if self.in_blocks:
-            return self._match_blocks(homes, probes, nearest_only)
+            return _compare_in_blocks(homes, probes, self.feature, self.block_rows, self._score(), nearest_only)
         pairs = _meet(homes, probes, self.feature)
         # A pair can meet in several cells; the one that counts is in the first chunk within the
         # radius, at the first hash's own value or, when two bits apart, with the lowest of them flipped.
@@ -151,7 +188,13 @@ class HammingIndex:
         found = pairs.where(distance <= self.max_distance).where(counts)
         return found.select("keyword", "cell", "a", "b", distance.cast("double").alias("score"))
 
-    def _match_blocks(self, homes: DataFrame, probes: DataFrame, nearest_only: bool) -> DataFrame:
+    def pairs(self, assigned: DataFrame) -> DataFrame:
+        homes = home_rows(assigned, self.feature)
+        if self.in_blocks:
+            return _compare_inside(homes, self.feature, self.block_rows, self._score())
+        return self.match(homes, probe_rows(assigned, self.feature))
+
+    def _score(self):
         limit = self.max_distance
 
         def score(column, home, probe, earlier):
@@ -160,7 +203,7 @@ class HammingIndex:
             i, j = np.nonzero((distance <= limit) & earlier)
             return i, j, distance[i, j].astype(np.float64)
 
-        return _compare_in_blocks(homes, probes, self.feature, self.block_rows, score, nearest_only)
+        return score
 
 
 @dataclass(frozen=True)
@@ -168,10 +211,14 @@ class VectorIndex:
     """Pairs of vectors whose cosine exceeds ``threshold``; with ``centred``, whose correlation does.
 
     Correlation is the cosine of vectors less their mean. Unit vectors whose cosine exceeds the
-    threshold are closer than ``r = sqrt(2 - 2 threshold)``. Keywords above ``cell_rows`` images get
-    pivots; an image's home is the nearest pivot's cell and it probes every cell whose boundary
-    is within ``r``. The number of pivots is bounded by ``max_pivots`` plus one per large
-    keyword, at most twice ``max_pivots`` in all, so they can be sent to every task.
+    threshold are closer than ``r = sqrt(2 - 2 threshold)``. The index is a metric tree of two levels for every keyword above
+    ``cell_rows`` images: an image belongs to the nearest of its keyword's pivots, and there to one of the shells into which
+    the pivot's images are cut by their distance from it; a shell is a cell of about ``shell_rows`` images. A similar image lies behind the
+    boundary to another pivot by no more than ``r`` allows, and in a shell whose distances differ by ``r`` at most: so an
+    image probes the cells that both bounds leave, and no others.
+
+    The number of pivots is bounded by ``max_pivots`` plus one per large keyword, at most twice ``max_pivots`` in all, each with at most
+    ``MAX_SHELLS`` limits, so they can be sent to every task.
     """
 
     threshold: float
@@ -180,10 +227,15 @@ class VectorIndex:
     cell_rows: int = 4096
     max_pivots: int = 4096
     block_rows: int = 2048
+    shell_rows: int = 1024
 
     def _unit(self, column) -> np.ndarray:
         return unit_rows(column, self.centred)
 
+    @property
+    def radius(self) -> float:
+        return math.sqrt(max(0.0, 2 - 2 * self.threshold)) + DISTANCE_SLACK
+
     def _pivots(self, items: DataFrame) -> dict[str, np.ndarray]:
         sizes = items.groupBy("keyword").count()
         total, largest = sizes.agg(F.sum("count"), F.max("count")).first()
@@ -201,74 +253,180 @@ class VectorIndex:
         vectors = self._unit(chosen.column(self.feature)) if len(keywords) else None
         return {k: vectors[keywords == k] for k in set(keywords)}
 
+    def _shells(self, placed: DataFrame) -> dict[str, dict[int, np.ndarray]]:
+        """Inner limits of the shells by keyword and pivot, from approximate quantiles of the distances."""
+        parts = F.least(F.ceil(F.count("*") / self.shell_rows), F.lit(MAX_SHELLS)).cast("int")
+        summary = placed.where("pivot is not null").groupBy("keyword", "pivot").agg(
+            parts.alias("parts"), F.percentile_approx("distance", [i / MAX_SHELLS for i in range(1, MAX_SHELLS)], 1000).alias("limits")
+        )
+        shells: dict[str, dict[int, np.ndarray]] = {}
+        for keyword, pivot, parts, limits in summary.collect():  # a row for each pivot
+            inner = [limits[i * MAX_SHELLS // parts - 1] for i in range(1, parts)]
+            shells.setdefault(keyword, {})[pivot] = np.unique(inner)
+        return shells
+
     def assign(self, items: DataFrame) -> DataFrame:
         items = items.select(*KEY, self.feature)
         pivots = self._pivots(items)
         if not pivots:
             return _one_cell(items, self.feature)
-        shared = items.sparkSession.sparkContext.broadcast(pivots)
-        radius = math.sqrt(max(0.0, 2 - 2 * self.threshold))
-        unit = self._unit
+        context = items.sparkSession.sparkContext
+        shared, unit, radius = context.broadcast(pivots), self._unit, self.radius
 
-        def place(batches):
+        def nearest(batches):
             for batch in batches:
                 keywords = np.array(batch.column("keyword").to_pylist(), dtype=object)
-                homes, probes = [[0]] * len(keywords), [[0]] * len(keywords)
+                pivot, distance = np.zeros(len(keywords), np.int64), np.zeros(len(keywords))
+                known = np.isin(keywords, list(shared.value))
                 vectors = unit(batch.column("feature"))
-                for keyword in set(keywords) & set(shared.value):
-                    pivot = shared.value[keyword]
-                    apart = np.sqrt(np.maximum(0.0, 2 - 2 * (pivot @ pivot.T)))
+                for keyword in set(keywords[known]):
                     rows = np.flatnonzero(keywords == keyword)
-                    nearness = vectors[rows] @ pivot.T
-                    nearest = nearness.argmax(axis=1)
-                    gap = nearness[np.arange(len(rows)), nearest][:, None] - nearness
-                    reach = gap <= radius * apart[nearest] + SLACK
-                    for row, home, cells in zip(rows, nearest, reach):
-                        homes[row], probes[row] = [int(home)], np.flatnonzero(cells).tolist()
-                columns = [*batch.columns, pa.array(homes, pa.list_(pa.int32())), pa.array(probes, pa.list_(pa.int32()))]
-                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "homes", "probes"])
+                    closeness = vectors[rows] @ shared.value[keyword].T
+                    pivot[rows] = closeness.argmax(axis=1)
+                    distance[rows] = _apart(closeness.max(axis=1))
+                columns = [*batch.columns, pa.array(pivot, pa.int32(), mask=~known), pa.array(distance)]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "pivot", "distance"])
 
         kind = items.schema[self.feature].dataType.simpleString()
-        schema = f"keyword string, image_id long, feature {kind}, homes array<int>, probes array<int>"
-        placed = items.withColumnRenamed(self.feature, "feature").mapInArrow(place, schema)
-        return materialize(placed.withColumnRenamed("feature", self.feature))
+        schema = f"keyword string, image_id long, feature {kind}"
+        placed = materialize(
+            items.withColumnRenamed(self.feature, "feature").mapInArrow(nearest, f"{schema}, pivot int, distance double")
+        )
+        limits = context.broadcast(self._shells(placed))
 
-    def match(self, homes: DataFrame, probes: DataFrame, nearest_only: bool = False) -> DataFrame:
+        def probe(batches):
+            for batch in batches:
+                keywords = np.array(batch.column("keyword").to_pylist(), dtype=object)
+                own, distance = batch.column("pivot").to_numpy(zero_copy_only=False), batch.column("distance").to_numpy()
+                homes, probes = [[0]] * len(keywords), [[0]] * len(keywords)
+                vectors = unit(batch.column("feature"))
+                for keyword in set(keywords) & set(shared.value):
+                    pivot, shells = shared.value[keyword], limits.value.get(keyword, {})
+                    between = _apart(pivot @ pivot.T)
+                    rows = np.flatnonzero(keywords == keyword)
+                    closeness = vectors[rows] @ pivot.T
+                    nearest = own[rows].astype(np.int64)
+                    gap = closeness[np.arange(len(rows)), nearest][:, None] - closeness
+                    reach = gap <= radius * between[nearest] + SLACK
+                    first, last = np.zeros(reach.shape, np.int64), np.zeros(reach.shape, np.int64)
+                    away = _apart(closeness)
+                    for p, inner in shells.items():
+                        first[:, p] = np.searchsorted(inner, away[:, p] - radius, "left")
+                        last[:, p] = np.searchsorted(inner, away[:, p] + radius, "right")
+                    for at, row in enumerate(rows.tolist()):
+                        shell = np.searchsorted(shells.get(nearest[at], ()), distance[row], "left")
+                        homes[row] = [int(nearest[at] * MAX_SHELLS + shell)]
+                        probes[row] = [
+                            int(p) * MAX_SHELLS + s for p in np.flatnonzero(reach[at]) if p in shells for s in range(first[at, p], last[at, p] + 1)
+                        ]
+                columns = [*batch.columns[:3], pa.array(homes, pa.list_(pa.int32())), pa.array(probes, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:3], "homes", "probes"])
+
+        found = placed.mapInArrow(probe, f"{schema}, homes array<int>, probes array<int>")
+        return materialize(found.withColumnRenamed("feature", self.feature))
+
+    def _score(self):
         unit, threshold = self._unit, self.threshold
 
-        def score(column, home, probe, earlier):
+        def score(column, home, probe, wanted):
             vectors = unit(column)
             similarity = vectors[home] @ vectors[probe].T
-            i, j = np.nonzero((similarity > threshold) & earlier)
+            i, j = np.nonzero((similarity > threshold) & wanted)
             return i, j, similarity[i, j]
 
-        return _compare_in_blocks(homes, probes, self.feature, self.block_rows, score, nearest_only)
+        return score
+
+    def match(self, homes: DataFrame, probes: DataFrame, nearest_only: bool = False) -> DataFrame:
+        return _compare_in_blocks(homes, probes, self.feature, self.block_rows, self._score(), nearest_only)
+
+    def pairs(self, assigned: DataFrame) -> DataFrame:
+        """All similar pairs: inside each cell, and between a cell's images and those of lower cells that probe it.
+
+        Both images of a similar pair probe the other's cell, so that it is enough if the one of the lower cell does.
+        """
+        homes = home_rows(assigned, self.feature)
+        upward = F.filter("probes", lambda cell: cell > F.get("homes", F.lit(0)))
+        guests = assigned.select(*KEY, self.feature, F.explode(upward).alias("cell"))
+        inside = _compare_inside(homes, self.feature, self.block_rows, self._score())
+        return inside.unionByName(_compare_in_blocks(homes, guests, self.feature, self.block_rows, self._score(), False, in_order=False))
 
 
 @dataclass(frozen=True)
 class StructureIndex:
     """Pairs of 256 × 256 gray rasters whose structural similarity exceeds ``threshold``.
 
-    There is no exact index for this measure, so a keyword is one cell, cut into blocks. The
-    layer gate (D9) and the rounds of ``greedy.first_wins`` keep the work down.
+    A keyword is one cell. Pairs are first joined by summaries of the rasters, means and spreads of their windows by tile, which give an upper bound
+    of the similarity (``images.structure_bounds``) at a hundredth of a raster's size. Rasters are then sent only where they have a pair
+    whose bound exceeds the threshold.
     """
 
     threshold: float
     feature: str = "gray"
     block_rows: int = 32
     large_block_rows: int = 256
+    summary_rows: int = 512
 
     def assign(self, items: DataFrame) -> DataFrame:
-        return _one_cell(items, self.feature)
+        def summarize(batches):
+            for batch in batches:
+                summary = [images.window_summary(images.as_raster(v)).ravel() for v in batch.column("feature")]
+                columns = [*batch.columns, pa.array(summary, pa.list_(pa.float32()))]
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "summary"])
 
-    def match(self, homes: DataFrame, probes: DataFrame, nearest_only: bool = False) -> DataFrame:
+        rows = items.select(*KEY, F.col(self.feature).alias("feature"))
+        found = rows.mapInArrow(summarize, "keyword string, image_id long, feature binary, summary array<float>")
+        return materialize(_one_cell(found.withColumnRenamed("feature", self.feature), self.feature, "summary"))
+
+    def possible(self, homes: DataFrame, probes: DataFrame) -> DataFrame:
+        """Pairs whose bound exceeds the threshold, with the bound as their score."""
         threshold = self.threshold
 
-        def score(column, home, probe, earlier):
-            rasters = images.stack_rasters(column)
-            return images.structure_pairs(rasters[home], rasters[probe], earlier, threshold)
+        def score(column, home, probe, wanted):
+            summaries = np.stack([v.values.to_numpy() for v in column]).reshape(len(column), *images.SUMMARY_SHAPE)
+            bounds = images.structure_bounds(summaries[home], summaries[probe])
+            i, j = np.nonzero((bounds > threshold) & wanted)
+            return i, j, bounds[i, j]
+
+        return _compare_in_blocks(homes, probes, "summary", self.summary_rows, score, False)
+
+    def match(self, homes: DataFrame, probes: DataFrame, nearest_only: bool = False) -> DataFrame:
+        threshold, rows = self.threshold, self.block_rows
+        pairs = materialize(self.possible(homes, probes))
+        images_left = F.approx_count_distinct("a")
+        rows_of = F.when(images_left > 32 * rows, self.large_block_rows).otherwise(rows)
+        blocks = pairs.groupBy("keyword").agg(F.ceil(images_left / rows_of).cast("int").alias("blocks"))
+        number = lambda name: F.pmod(F.xxhash64(name), F.col("blocks")).cast("int")
+        dealt = pairs.join(blocks, "keyword").select(
+            "keyword", "cell", "a", "b", number("a").alias("home_block"), number("b").alias("probe_block")
+        )
+        task = ["keyword", "cell", "home_block", "probe_block"]
+        rasters = lambda side: side.select(*KEY, F.col(self.feature).alias("feature"))
+        needed = lambda side, name: side.join(dealt.select(*task, F.col(name).alias("image_id")).distinct(), KEY)
+        sent = needed(rasters(homes), "a").unionByName(needed(rasters(probes), "b")).dropDuplicates([*task, "image_id"])
+        sent = sent.select(*[F.col(c).alias(c) for c in sent.columns])  # columns of its own, as both sides come from the pairs
+
+        def verify(pairs: pa.Table, rows: pa.Table) -> pa.Table:
+            ids = rows.column("image_id").to_numpy()
+            order = np.argsort(ids)
+            a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
+            at = {int(i): rows.column("feature")[int(k)] for i, k in zip(ids[order], order)}
+            i, s = images.verified_structure(a, b, lambda image: images.as_raster(at[int(image)]), threshold)
+            a, b = a[i], b[i]
+            if nearest_only and len(a):
+                order = np.lexsort((a, b))
+                first = order[np.r_[True, b[order][1:] != b[order][:-1]]]
+                a, b, s = a[first], b[first], s[first]
+            return _pair_table(pairs, a, b, s)
 
-        return _compare_in_blocks(homes, probes, self.feature, self.block_rows, score, nearest_only, self.large_block_rows)
+        return dealt.groupBy(*task).cogroup(sent.groupBy(*task)).applyInArrow(verify, _pair_schema(homes))
+
+    def pairs(self, assigned: DataFrame) -> DataFrame:
+        return self.match(home_rows(assigned, self.feature), probe_rows(assigned, self.feature))
+
+
+def _apart(closeness: np.ndarray) -> np.ndarray:
+    """Distance of unit vectors from their cosine."""
+    return np.sqrt(np.maximum(0.0, 2 - 2 * closeness))
 
 
 def unit_rows(column, centred: bool) -> np.ndarray:
@@ -281,12 +439,17 @@ def unit_rows(column, centred: bool) -> np.ndarray:
     return matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-12)
 
 
+def _rows(assigned: DataFrame, feature: str, cells: str) -> DataFrame:
+    extra = ["summary"] if "summary" in assigned.columns else []
+    return assigned.select(*KEY, feature, *extra, F.explode(cells).alias("cell"))
+
+
 def home_rows(assigned: DataFrame, feature: str) -> DataFrame:
-    return assigned.select(*KEY, feature, F.explode("homes").alias("cell"))
+    return _rows(assigned, feature, "homes")
 
 
 def probe_rows(assigned: DataFrame, feature: str) -> DataFrame:
-    return assigned.select(*KEY, feature, F.explode("probes").alias("cell"))
+    return _rows(assigned, feature, "probes")
 
 
 def similar_pairs(items: DataFrame, index) -> DataFrame:
@@ -296,4 +459,4 @@ def similar_pairs(items: DataFrame, index) -> DataFrame:
     goes through ``greedy.first_wins``, which never lists the pairs inside a group of copies.
     """
     assigned = index.assign(items.where(F.col(index.feature).isNotNull()))
-    return index.match(home_rows(assigned, index.feature), probe_rows(assigned, index.feature)).drop("cell")
+    return index.pairs(assigned).drop("cell")
