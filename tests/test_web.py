@@ -141,6 +141,40 @@ def test_robots(spark):
     assert waits["http://c?s=1"] == (3.0, 3.0, 3.0) and waits["http://lost/"] == waits["http://new/"] == (1.0, 1.0, 1.0)
 
 
+def test_many_rules_of_one_host(spark):
+    rules = spark.range(100_000).selectExpr(
+        "'h' as host", "'rules' as policy", "cast(id as int) as pos", "id % 3 = 0 as allow", "concat('/', hex(id % 70000)) as prefix", "cast(null as double) as crawl_delay"
+    )
+    targets = spark.range(2_000).selectExpr("concat('http://h/', hex(id * 97), '/x') as url", "id as host")
+    listed = [(r.allow, r.prefix) for r in rules.orderBy("pos").collect()]
+    position = {}
+    for at, (allow, prefix) in enumerate(listed):
+        position.setdefault(prefix, (at, allow))
+    for r in crawl.robots_allowed(targets, rules).collect():
+        local = r.url.removeprefix("http://h")
+        hits = [position[local[:n]] for n in range(len(local) + 1) if local[:n] in position]
+        assert r.allowed == (min(hits)[1] if hits else True)
+
+
+def test_many_crawls_together(spark, monkeypatch):
+    links = spark.range(3_000).selectExpr("concat('http://s', id % 50, '/', id) as url", "concat('http://s', (id + 50) % 50, '/', id + 50) as link")
+    away = spark.range(50).selectExpr("concat('http://s', id, '/', id) as url", "concat('http://s', (id + 1) % 50, '/', id + 1) as link")
+    seeds = spark.range(500).selectExpr("concat('k', id) as crawl", "concat('http://s', id % 50, '/', id) as url").unionByName(
+        spark.createDataFrame([(None, "http://s3/3"), (None, "http://s4/4")], "crawl string, url string").selectExpr("coalesce(crawl, 'both') as crawl", "url")
+    )
+    sites = seeds.selectExpr("crawl", "regexp_extract(url, '//([^/]*)', 1) as host")
+    written = []
+    original = crawl.scratch_path
+    monkeypatch.setattr(crawl, "scratch_path", lambda spark: written.append(original(spark)) or written[-1])
+    found = crawl.crawl_reachable(seeds, links.unionByName(away), None, sites)
+    rows = found.collect()
+    got = {(r.crawl, r.url): r.depth for r in rows}
+    assert len(got) == len(rows) == sum(60 - i // 50 + 1 for i in range(500)) + 2 * 61
+    assert got["k499", "http://s49/2999"] == 50 and got["both", "http://s4/3004"] == 60
+    rounds = {r.p for r in spark.read.parquet(written[0]).selectExpr("round as p").distinct().collect()}
+    assert len(rounds) <= 62
+
+
 @pytest.mark.parametrize("small", [0, 10_000])
 def test_crawl_depths(spark, monkeypatch, small):
     monkeypatch.setattr(crawl, "SMALL_FRONTIER", small)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftloom.functions import urls
 from weftloom.operators.ordering import number_rows, running_max
+from weftloom.operators.skew import skew_join
 from weftloom.session import broadcast_if_small, materialize, scratch_path
 
 SMALL_FRONTIER = 10_000
@@ -24,29 +25,33 @@ def robots_allowed(targets: DataFrame, robots: DataFrame) -> DataFrame:
     ``robots(host, policy, pos, allow, prefix, crawl_delay)`` has the rules for all agents; the first
     one in file order whose prefix starts the path and query decides, and without one the URL is
     allowed. Hosts with policy allow_all, deny_all or unread are answered as a whole, and
-    hosts without rules allow. The rules of a host are folded into one ordered array first, so
-    a URL meets one row however long the rule file is.
+    hosts without rules allow.
+
+    Rules stay rows. A URL is cut to each length that a prefix of its host has, and these beginnings are looked up by
+    equality, so that a long rule file costs a URL no more than it has different lengths.
     """
-    per_host = robots.groupBy("host").agg(
-        F.max("policy").alias("policy"),
-        F.array_sort(F.collect_list(F.struct("pos", "allow", "prefix"))).alias("rules"),
-    )
     local = F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*([^#]*)", 1)
-    asked = targets.withColumn("host", urls.host(F.col("url"))).withColumn(
-        "_local", F.when(F.startswith(local, F.lit("/")), local).otherwise(F.concat(F.lit("/"), local))
+    asked = materialize(
+        targets.select("url").distinct().withColumn("host", urls.host(F.col("url"))).withColumn(
+            "local", F.when(F.startswith(local, F.lit("/")), local).otherwise(F.concat(F.lit("/"), local))
+        )
     )
-    matching = F.filter(
-        "rules",
-        # an empty Disallow forbids nothing
-        lambda r: r["prefix"].isNotNull() & (r["allow"] | (r["prefix"] != "")) & F.startswith(F.col("_local"), r["prefix"]),
+    # an empty Disallow forbids nothing
+    rules = robots.where("policy = 'rules' and prefix is not null and (allow or prefix <> '')")
+    first = rules.groupBy("host", "prefix").agg(F.min("pos").alias("pos"), F.min_by("allow", "pos").alias("allow"))
+    sizes = rules.select("host", F.length("prefix").alias("size")).distinct()
+    beginnings = asked.join(broadcast_if_small(sizes), "host").where("size <= length(local)").select(
+        "url", "host", F.expr("substring(local, 1, size)").alias("prefix")
     )
+    decided = skew_join(materialize(beginnings), first, ["host", "prefix"]).groupBy("url").agg(F.min_by("allow", "pos").alias("allow"))
+    policies = robots.groupBy("host").agg(F.max("policy").alias("policy"))
     verdict = (
         F.when(F.col("policy").isin("deny_all", "unread"), F.lit(False))
         .when(F.col("policy") == "allow_all", F.lit(True))
-        .otherwise(F.coalesce(F.get(matching, F.lit(0))["allow"], F.lit(True)))
+        .otherwise(F.coalesce("allow", F.lit(True)))
     )
-    joined = asked.join(broadcast_if_small(per_host), "host", "left")
-    return joined.select(*targets.columns, verdict.alias("allowed"))
+    answers = asked.join(broadcast_if_small(policies), "host", "left").join(decided, "url", "left").select("url", verdict.alias("allowed"))
+    return skew_join(targets, answers, ["url"], "left").select(*targets.columns, "allowed")
 
 
 def crawl_delays(targets: DataFrame, robots: DataFrame) -> DataFrame:
@@ -75,11 +80,14 @@ def crawl_reachable(
     seeds: DataFrame,
     links: DataFrame,
     closed: DataFrame | None = None,
+    sites: DataFrame | None = None,
 ) -> DataFrame:
     """URLs reachable from ``seeds(url)`` over ``links(url, link)``: ``(url, depth)``.
 
     ``closed(url)`` are URLs that are visited but not expanded (disallowed, failed or not
-    HTML). The crawl goes on until nothing new is found.
+    HTML). The crawl goes on until nothing new is found. With a column ``crawl`` in ``seeds``, each of its values is a crawl of its own and
+    comes first in the result; all of them advance together, so that the rounds are those of the deepest. ``sites(host)``, or
+    ``sites(crawl, host)``, limits a crawl to its hosts.
 
     Every round appends to one table of visited URLs, so that plans stay the same size however deep the
     site is. A large frontier advances by one depth a round, a small one by several, as a
@@ -87,28 +95,33 @@ def crawl_reachable(
     """
     spark = seeds.sparkSession
     table = scratch_path(spark)
+    crawl = [name for name in seeds.columns if name == "crawl"]
+    key = [*crawl, "url"]
     open_links = links.select("url", "link").distinct()
     if closed is not None:
         open_links = open_links.join(closed.select("url"), "url", "left_anti")
-    open_links = materialize(open_links)
+    open_links = materialize(open_links.withColumn("host", urls.host(F.col("link"))))
+    if sites is not None:
+        sites = broadcast_if_small(materialize(sites.select(*crawl, "host").distinct()))
 
-    seeds.select("url").distinct().withColumn("depth", F.lit(0)).write.parquet(f"{table}/round=0")
-    schema = "url string, depth int"
+    seeds.select(*key).distinct().withColumn("depth", F.lit(0)).write.parquet(f"{table}/round=0")
+    schema = "".join(f"{name} {seeds.schema[name].dataType.simpleString()}, " for name in key) + "depth int"
     read = lambda path: spark.read.schema(schema).parquet(path)
     depth, rounds = 0, 0
     frontier_size = read(f"{table}/round=0").count()
     while frontier_size:
         hops = 1 if frontier_size > SMALL_FRONTIER else SMALL_FRONTIER_HOPS
         visited = read(table)
-        step = read(f"{table}/round={rounds}").where(F.col("depth") == depth).select("url")
+        step = read(f"{table}/round={rounds}").where(F.col("depth") == depth).select(*key)
         found = None
         for hop in range(1, hops + 1):
-            # at most all links, each target once and none that was there before
-            step = open_links.join(step, "url", "left_semi").select(F.col("link").alias("url")).distinct()
-            step = step.join(visited.select("url"), "url", "left_anti")
+            step = open_links.join(step, "url").select(*crawl, "host", F.col("link").alias("url"))
+            if sites is not None:
+                step = step.join(sites, [*crawl, "host"], "left_semi")
+            step = step.select(*key).distinct().join(visited.select(*key), key, "left_anti")
             reached = step.withColumn("depth", F.lit(depth + hop))
             found = reached if found is None else found.unionByName(reached)
-        new = found.groupBy("url").agg(F.min("depth").alias("depth")).join(visited.select("url"), "url", "left_anti")
+        new = found.groupBy(*key).agg(F.min("depth").alias("depth")).join(visited.select(*key), key, "left_anti")
         rounds, depth = rounds + 1, depth + hops
         new.write.parquet(f"{table}/round={rounds}")
         written = read(f"{table}/round={rounds}")

@@ -30,15 +30,11 @@ def acquire(
     asked = links.select("url").unionByName(starts.select("url")).distinct()
     closed = materialize(crawl.robots_allowed(asked, robots).where("not allowed").select("url"))
 
-    def reached(start: DataFrame) -> DataFrame:
-        return crawl.crawl_reachable(start, crawl.internal_links(links, start), closed).select("url")
-
-    shared = reached(starts.where("keyword is null").select("url"))
-    # a crawl for each keyword that has seeds; these are named in the configuration
-    mine = shared.select(F.lit(None).cast("string").alias("keyword"), "url").limit(0)
-    for row in starts.where("keyword is not null").select("keyword").distinct().toLocalIterator():
-        found = reached(starts.where(F.col("keyword") == row.keyword).select("url"))
-        mine = mine.unionByName(found.select(F.lit(row.keyword).alias("keyword"), "url"))
+    # the shared crawl and those of keywords with seeds run together
+    starts_of = starts.select(F.struct(F.col("keyword").alias("own")).alias("crawl"), "url")
+    sites = starts_of.select("crawl", urls.host(F.col("url")).alias("host"))
+    found = materialize(crawl.crawl_reachable(starts_of, links, closed, sites).select(F.col("crawl.own").alias("keyword"), "url"))
+    shared, mine = found.where("keyword is null").select("url"), found.where("keyword is not null")
     pool = crawl.keyword_url_pool(keywords, starts, mine, shared)
     numbered = pool.withColumn("pos", F.col("url"))
     return scoring.score_requests(scoring.score_batches(numbered, params.score_batch_size))

@@ -49,9 +49,25 @@ def with_image_ids(listing: DataFrame) -> DataFrame:
     return listing.join(ids.withColumn("image_id", F.col("image_id").cast("long")), ["keyword", "filename"])
 
 
-def scan_shards(spark: SparkSession, root: str) -> DataFrame:
-    """Stored batches; a filter on ``keyword`` reads only that keyword's folders."""
-    return spark.read.schema(SHARD_SCHEMA).parquet(root)
+def scan_shards(spark: SparkSession, root: str, places: bool = False) -> DataFrame:
+    """Stored batches; a filter on ``keyword`` reads only that keyword's folders.
+
+    With ``places``, ``shard`` (the file's path) and ``row`` (from 0) say where a row lies: images are in the order of shards, then rows.
+    """
+    stored = spark.read.schema(SHARD_SCHEMA).parquet(root)
+    if not places:
+        return stored
+    return stored.select("*", F.col("_metadata.file_path").alias("shard"), F.col("_metadata.row_index").alias("row"))
+
+
+def shard_order(shards: DataFrame) -> DataFrame:
+    """``image_id`` for the names in shards with places: the first row of a name counts, and its place is its turn in the keyword.
+
+    Where a name occurs again, that row is left out, whatever its bytes.
+    """
+    names = first_rows(shards.select("keyword", "filename", "shard", "row"), ["keyword", "filename"], ["shard", "row"])
+    numbered = number_rows(names, ["keyword"], [F.col("shard"), F.col("row")], "image_id")
+    return numbered.withColumn("image_id", F.col("image_id").cast("long"))
 
 
 def first_rows(rows: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -391,11 +391,13 @@ def filter_counts(spark, sf):
 
 @query(f"""
 WITH {SCORED_SQL}
-SELECT k.keyword, (SELECT count(*) FROM final f WHERE f.keyword = k.keyword AND f.keyword < '7') AS images FROM (SELECT DISTINCT keyword FROM units) k""")
+SELECT k.keyword, (SELECT count(*) FROM final f WHERE f.keyword = k.keyword) AS images
+FROM (SELECT DISTINCT keyword FROM units UNION SELECT DISTINCT source FROM documents) k""")
 def run_summary(spark, sf):
-    """Labels from 7 on count as keywords without a final image."""
-    keywords = vectors(spark, sf).select("keyword").distinct()
-    return ranking.run_summary(keywords, _outcome(spark, sf).where("final and keyword < '7'"))
+    """Wanted are all labels and all document sources; the sources have no images."""
+    labels = vectors(spark, sf).select("keyword")
+    wanted = labels.unionByName(texts(spark, sf).select("keyword")).distinct()
+    return ranking.run_summary(wanted, _outcome(spark, sf).where("final"))
 
 
 @query(f"WITH {SCORED_SQL} SELECT keyword, image_id, rank::INTEGER AS rank FROM final WHERE rank <= 6")

@@ -23,6 +23,28 @@ def shard_scan_first_wins(spark, sf):
     return files.first_rows(rows, ["o_custkey"], ["o_orderkey"])
 
 
+@query("""
+WITH rows AS (
+  SELECT o_orderpriority AS keyword, o_custkey, o_orderkey, o_orderkey % 7 AS batch,
+         row_number() OVER (PARTITION BY o_orderpriority, o_orderkey % 7 ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders),
+firsts AS (SELECT * FROM rows QUALIFY row_number() OVER (PARTITION BY keyword, o_custkey ORDER BY batch, place) = 1)
+SELECT keyword, o_custkey::VARCHAR AS filename, o_orderkey::VARCHAR AS content,
+       row_number() OVER (PARTITION BY keyword ORDER BY batch, place) AS image_id FROM firsts""")
+def shard_order(spark, sf):
+    """Orders stored as shards, seven a priority, newest first; the customer is the file name. Images in the order of shard, then row."""
+    root = scratch_path(spark)
+    rows = table(spark, sf, "orders").select(
+        F.encode(F.col("o_orderkey").cast("string"), "UTF-8").alias("image_bytes"), F.col("o_custkey").cast("string").alias("filename"),
+        F.col("o_orderpriority").alias("keyword"), F.pmod("o_orderkey", F.lit(7)).cast("int").alias("batch_id"), "o_orderdate", "o_orderkey",
+    )
+    placed = rows.repartition("keyword", "batch_id").sortWithinPartitions("keyword", "batch_id", F.desc("o_orderdate"), "o_orderkey")
+    placed.drop("o_orderdate", "o_orderkey").write.partitionBy("keyword", "batch_id").parquet(root)
+    shards = files.scan_shards(spark, root, places=True)
+    ordered = materialize(files.shard_order(shards))
+    wanted = shards.join(ordered, ["keyword", "filename", "shard", "row"])
+    return wanted.select("keyword", "filename", F.decode("image_bytes", "UTF-8").alias("content"), "image_id")
+
+
 @query("SELECT source AS keyword, sum(octet_length(encode(text)) + 1)::BIGINT AS bytes, sum(octet_length(encode(text)) + 1)::BIGINT AS length FROM documents GROUP BY 1")
 def scan_images(spark, sf):
     """Documents written as files in a folder for each source, and scanned like images, contents included."""
