@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from weftloom.llm import suffix_array, words
 from weftloom.operators.skew import skew_join
-from weftloom.session import materialize
+from weftloom.session import discard, materialize
 
 LENGTH = 200
 GRAM = 24
@@ -270,12 +270,13 @@ def repeated_spans(
     Texts without one are left out.
     """
     texts = with_hashes(docs).where(F.octet_length("text") >= length).select("text", *_ID)
-    spans = texts.mapInArrow(_spans(length, gram), SPANS)
+    spans = materialize(texts.mapInArrow(_spans(length, gram), SPANS))  # read twice: for the limits of the ranges, and to be dealt
     # a salt, so that copies of a text without end can lie in several partitions
     order = ["key", "dig", "h1", "h2", "at"]
     dealt = spans.withColumn("salt", F.spark_partition_id()).repartitionByRange(*order, "salt").sortWithinPartitions(*order).drop("salt")
     places = dealt.mapInArrow(_repeated, PLACES).groupBy("key", "dig", "h1", "h2", "at", "n").agg(F.sum("c").alias("c"))
     places = materialize(places)
+    discard(spans)
     shown = F.min(F.struct(*_ID, "at", "n")).alias("place")
     chosen = places.groupBy(*_SPAN).agg(F.sum("c").alias("c"), shown).select("place.*", *_SPAN, "c")
     by_text = chosen.groupBy(*_ID).agg(F.collect_list(F.struct("at", "n", *_SPAN, "c")).alias("chosen"))
