@@ -6,7 +6,9 @@ import hashlib
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
+
+import numpy as np
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -193,3 +195,41 @@ def remove_repeats(rows, length=200):
         spans = sum(gone[i] and not (i and gone[i - 1]) for i in range(len(t)))
         out.append((doc_id, len(t), sum(gone), spans, sha(bytes(b for b, g in zip(t, gone) if not g))))
     return out
+
+
+def outlier_distances(rows, least=20, consistency=2.11):
+    """Squared distance of each document (id, lang, source, text) that passes the base rule from its group's tightest half."""
+    scales = np.diag(np.square([0.1, 0.03, 0.05, 0.1]))
+    points, groups = {}, defaultdict(list)
+    for doc_id, lang, source, text in rows:
+        n, chars, symbols, lines, repeats = statistics(text)
+        if n < 50 or 100 * repeats > 50 * n:
+            continue
+        points[doc_id] = np.array([math.log(chars / n), (symbols / chars) ** 0.5, (lines / n) ** 0.5, (repeats / n / (1 + n / 10_000)) ** 0.5])
+        for key in ((lang, source), (lang,), ()):
+            groups[key].append(doc_id)
+
+    def distances(x, fit):
+        off = x - fit[0]
+        return np.einsum("ij,jk,ik->i", off, np.linalg.inv(fit[1]), off)
+
+    def estimate(x):
+        best = None
+        whole = x.mean(axis=0), consistency * np.cov(x.T, bias=True) + scales
+        for fit in (whole, (np.median(x, axis=0), scales)):
+            for _ in range(50):
+                half = x[np.argsort(distances(x, fit), kind="stable")[: (len(x) + 1) // 2]]
+                fit = half.mean(axis=0), consistency * np.cov(half.T, bias=True) + scales
+            det = np.linalg.det(fit[1])
+            if best is None or det < best[0]:
+                best = det, fit
+        return best[1]
+
+    fits, found = {}, {}
+    for doc_id, lang, source, _ in rows:
+        if doc_id in points:
+            key = next((k for k in ((lang, source), (lang,)) if len(groups[k]) >= least), ())
+            if key not in fits:
+                fits[key] = estimate(np.array([points[i] for i in groups[key]]))
+            found[doc_id] = float(distances(points[doc_id][None], fits[key])[0])
+    return found

@@ -122,6 +122,33 @@ def test_outliers_of_a_group_are_rejected(spark):
     assert quality.quality_rules(docs.where("false")).count() == 0
 
 
+def test_repeated_words_alone_reject(spark):
+    draw = random.Random(2)
+    words = lambda n: ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(3, 8))) for _ in range(n)]
+    clean = [words(120) for _ in range(60)]
+    repeating = [w[:27] + w[:27] + w[27:93] for w in clean[:5]]
+    vocabulary = words(900)
+    weights = [1 / (i + 1) for i in range(900)]
+    long = [draw.choices(vocabulary, weights, k=n) for n in (5_000, 20_000)]  # phrases recur, as in long prose
+    docs = frame(spark, [" ".join(t) for t in clean + repeating + long], lang="en")
+    got = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    assert all(got[i].n_repeat_words == 54 and got[i].n_dup_lines == 0 for i in range(60, 65))
+    assert all(got[i].kept for i in range(60)) and not any(got[i].kept or got[i].base_failed for i in range(60, 65))
+    assert got[66].n_repeat_words > 1_000 and got[65].kept and got[66].kept
+
+
+def test_quality_rules_against_plain_estimates(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    got = {r.doc_id: r for r in quality.quality_rules(docs).collect()}
+    plain = brute.outlier_distances([(r.doc_id, r.lang, r.source, r.text) for r in docs.collect()])
+    assert {i for i, r in got.items() if not r.base_failed} == set(plain)
+    # the operator finds halves among distance bins: estimates differ a little, verdicts only next to the limit
+    clear = [i for i, d in plain.items() if not 0.6 < d / quality.CUTOFF < 1.6]
+    assert len(clear) > 0.9 * len(plain)
+    assert all(got[i].kept == (plain[i] <= quality.CUTOFF) for i in clear)
+    assert any(plain[i] > quality.CUTOFF for i in clear)
+
+
 # --- 4 ---
 
 

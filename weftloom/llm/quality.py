@@ -73,7 +73,7 @@ VECTOR = (
     ("ln(cast(word_chars AS double) / n_words)", 0.1),
     ("sqrt(cast(n_symbols AS double) / word_chars)", 0.03),
     ("sqrt(cast(n_dup_lines AS double) / n_words)", 0.05),
-    ("sqrt(cast(n_repeat_words AS double) / n_words)", 0.2),
+    ("sqrt(cast(n_repeat_words AS double) / n_words / (1 + n_words / 10000.0))", 0.1),  # phrases of long texts recur by themselves
 )
 CUTOFF = 33.38  # chi-squared quantile of 1 - 10^-6 with 4 degrees of freedom
 CONSISTENCY = 2.11  # makes the scatter of the inner half of normal data that of all
