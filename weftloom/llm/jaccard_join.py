@@ -48,46 +48,40 @@ def _sets(batch: pa.RecordBatch, width: int) -> Iterator[tuple[int, np.ndarray]]
         yield row, words.shingles(hashes, width)
 
 
-def _frequent(width: int):
-    """Shingles that several different documents of some millions of shingles share, with their number."""
+def _keys_and_counts(width: int):
+    """Size and 128-bit digest of each document's set; in rows of their own, shingles that several of a task's documents share.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, known = [], 0, set()
-
-        def counted() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= _SEEN_IN_BATCH
-            return pa.RecordBatch.from_arrays([pa.array(_as_long(values[often])), pa.array(counts[often])], ["shingle", "n"])
-
-        for batch in batches:
-            for _, own in _sets(batch, width):
-                key = own[:8].tobytes(), len(own)  # copies count once; this is only an order, so near enough
-                if len(own) and key not in known:
-                    known.add(key)
-                    held.append(own)
-                    size += len(own)
-                    if size >= _BATCH_SHINGLES:
-                        yield counted()
-                        held, size, known = [], 0, set()
-        if held:
-            yield counted()
-
-    return run
+    Shingles are counted over some millions at a time, copies once; they only serve an order, so near enough.
+    """
+    names = ["doc_id", "n", "key_a", "key_b", "shingle", "times"]
 
+    def rows(*columns: pa.Array) -> pa.RecordBatch:
+        size = max(len(c) for c in columns if c is not None)
+        return pa.RecordBatch.from_arrays([pa.nulls(size, pa.int64()) if c is None else c for c in columns], names)
 
-def _keys(width: int):
-    """Size and 128-bit digest of each document's set."""
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        often = counts >= _SEEN_IN_BATCH
+        return rows(None, None, None, None, pa.array(_as_long(values[often])), pa.array(counts[often]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, known = [], 0, set()
         for batch in batches:
             n, key = np.zeros(len(batch), np.int64), np.zeros((len(batch), 2), np.uint64)
             for row, own in _sets(batch, width):
                 n[row] = len(own)
                 key[row] = own.sum(dtype=np.uint64), words.mix(own ^ np.uint64(0xD6E8FEB86659FD93)).sum(dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(_as_long(key[:, 0])), pa.array(_as_long(key[:, 1]))],
-                ["doc_id", "n", "key_a", "key_b"],
-            )
+                digest = key[row].tobytes()
+                if len(own) and digest not in known:
+                    known.add(digest)
+                    held.append(own)
+                    size += len(own)
+                    if size >= _BATCH_SHINGLES:
+                        yield counted(held)
+                        held, size, known = [], 0, set()
+            yield rows(batch.column("doc_id"), pa.array(n), pa.array(_as_long(key[:, 0])), pa.array(_as_long(key[:, 1])), None, None)
+        if held:
+            yield counted(held)
 
     return run
 
@@ -249,7 +243,10 @@ def jaccard_components(
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-    keyed = materialize(docs.mapInArrow(_keys(width), "doc_id long, n long, key_a long, key_b long"))
+    told = materialize(
+        docs.mapInArrow(_keys_and_counts(width), "doc_id long, n long, key_a long, key_b long, shingle long, times long")
+    )
+    keyed = told.where("n is not null").drop("shingle", "times")
     key = ["key_a", "key_b", "n"]
     classes = materialize(keyed.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("node")).where("node is not null"))
     member = materialize(
@@ -258,7 +255,7 @@ def jaccard_components(
 
     docs = _once(docs, keyed)
     hints = (
-        docs.select("text").mapInArrow(_frequent(width), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+        told.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("n"))
         .where(F.col("n") >= _HINT_COUNT).orderBy(F.desc("n"), "shingle").limit(ORDER_HINTS).toArrow()
     )
     frequent = hints.column("shingle").to_numpy().view(np.uint64)
@@ -267,11 +264,12 @@ def jaccard_components(
 
     # rows with one id and several texts
     several = materialize(member.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("top")).where("a < top"))
-    copies = materialize(member.where("doc_id <> node").join(several, "doc_id", "left_anti").select("doc_id", "n").distinct())
+    copies = materialize(member.where("doc_id <> node").join(several, "doc_id", "left_anti").select("doc_id").distinct())
     dropped = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
     nodes = materialize(
-        docs.mapInArrow(_prefixes(width, percent, shared), "doc_id long, n long, prefix array<long>, bits array<long>")
-        .where("n > 0 and doc_id is not null").join(dropped, ["doc_id", "n"], "left_anti").withColumnRenamed("doc_id", "node")
+        docs.where("doc_id is not null").join(dropped, "doc_id", "left_anti")
+        .mapInArrow(_prefixes(width, percent, shared), "doc_id long, n long, prefix array<long>, bits array<long>")
+        .where("n > 0").withColumnRenamed("doc_id", "node")
     )
     entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
     met = entries.groupBy("shingle").count().where("count > 1")
