@@ -15,6 +15,7 @@ from weftloom.params import CurationParams
 from weftloom.plans import curate
 from weftloom.session import materialize, scratch_path
 from weftloom.sources import sinks
+from weftloom.streaming import dedup as streaming_dedup
 from workloads.base import (
     HIST_SQL, VECTORS_SQL, Registry, cosine_edges_sql, greedy_sql, texts, unit_sql, vectors,
 )
@@ -105,8 +106,47 @@ def cosine_to_anchor(spark, sf):
     return scored.select("image_id", F.round("score", 6).alias("score"))
 
 
-@query()
+@query("""
+WITH sized AS (
+  SELECT doc_id AS image_id, encode(text) AS data, octet_length(encode(text)) AS n,
+         greatest(ceil(sqrt(octet_length(encode(text)))), 1)::INTEGER AS width FROM documents),
+shaped AS (SELECT *, greatest(ceil(n / width), 1)::INTEGER AS height FROM sized),
+pixels AS (
+  SELECT image_id, width, height, place // width AS y, place % width AS x, ('0x' || byte)::INTEGER AS value
+  FROM (SELECT image_id, width, height, unnest(range(n)) AS place, unnest(regexp_extract_all(hex(data), '..')) AS byte FROM shaped)),
+axes AS (
+  SELECT DISTINCT size, area FROM (
+    SELECT width AS size, height >= 32 AS area FROM shaped UNION ALL SELECT height, height >= 32 FROM shaped)),
+centres AS (
+  SELECT size, area, i, least(greatest((i + 0.5::DOUBLE) * size / 32 - 0.5::DOUBLE, 0), size - 1) AS centre FROM axes, range(32) t(i) WHERE NOT area),
+spans AS (
+  SELECT size, area, i, unnest(range(floor(i * size / 32)::INTEGER, least(ceil((i + 1) * size / 32)::INTEGER, size))) AS source
+  FROM axes, range(32) t(i) WHERE area),
+taps AS (
+  SELECT size, area, i, floor(centre)::BIGINT AS source, 1 - (centre - floor(centre)) AS share FROM centres
+  UNION ALL SELECT size, area, i, least(floor(centre)::BIGINT + 1, size - 1), centre - floor(centre) FROM centres
+  UNION ALL SELECT size, area, i, source,
+    (least((i + 1) * size / 32, source + 1) - greatest(i * size / 32, source)) * 32 / size FROM spans),
+bases AS MATERIALIZED (
+  SELECT size, area, source, k, sum(2 * cos(pi() * k * (2 * i + 1) / 64) * share) AS factor FROM taps, range(8) f(k) GROUP BY ALL),
+lines AS (
+  SELECT image_id, height, y, k AS l, sum(value * factor) AS value
+  FROM pixels JOIN bases ON size = width AND area = (height >= 32) AND source = x GROUP BY ALL),
+found AS (
+  SELECT image_id, k, l, sum(value * factor) AS value
+  FROM lines JOIN bases ON size = height AND area = (height >= 32) AND source = y GROUP BY ALL),
+coefficients AS (
+  SELECT s.image_id, k.k * 8 + l.l AS place, round(coalesce(f.value, 0), 6) AS value
+  FROM shaped s CROSS JOIN range(8) k(k) CROSS JOIN range(8) l(l) LEFT JOIN found f ON f.image_id = s.image_id AND f.k = k.k AND f.l = l.l
+  WHERE s.n IS NOT NULL),
+middles AS (SELECT image_id, median(value) AS middle FROM coefficients GROUP BY 1),
+wide AS (
+  SELECT image_id, sum(CASE WHEN value > middle THEN 1::HUGEINT << (63 - place)::HUGEINT ELSE 0 END) AS w
+  FROM coefficients JOIN middles USING (image_id) GROUP BY 1)
+SELECT s.image_id, (CASE WHEN w >= 9223372036854775808 THEN w - 18446744073709551616 ELSE w END)::BIGINT AS bits
+FROM shaped s LEFT JOIN wide USING (image_id)""")
 def perceptual_hash(spark, sf):
+    """Documents as gray images of one byte a pixel, resampled to 32 by 32; signs of the lowest cosine coefficients against their median."""
     pixels = features.bytes_as_pixels(texts(spark, sf), "content")
     return features.pixel_features(pixels, ("bits",)).select("image_id", "bits")
 
@@ -196,6 +236,25 @@ def dedup_counts(spark, sf):
     return greedy.dedup_counts(decisions)
 
 
+ARRIVAL = 1_000_000_000_000
+
+
+@query(f"""
+WITH RECURSIVE vectors AS MATERIALIZED (
+  SELECT label::VARCHAR AS keyword, vec_id + vec_id % 4 * {ARRIVAL} AS image_id, embedding::DOUBLE[] AS v FROM embeddings),
+{unit_sql('vectors', 'units')}, {cosine_edges_sql('units', 'e', f'> {COSINE}')}, {greedy_sql('units', 'e', 'g')}
+SELECT keyword, image_id % {ARRIVAL} AS image_id, kept, removed_by % {ARRIVAL} AS removed_by FROM g""")
+def stream_dedup_cosine(spark, sf):
+    """Vectors arrive in four deliveries, ids of remainder 0 first; every delivery is resolved against what was kept of those before."""
+    root = scratch_path(spark)
+    items = vectors(spark, sf)
+    for delivery in range(4):
+        items.where(F.pmod("image_id", F.lit(4)) == delivery).write.mode("append").parquet(f"{root}/arrived")
+        stream = spark.readStream.schema(items.schema).parquet(f"{root}/arrived")
+        streaming_dedup.stream_dedup(stream, VectorIndex(COSINE), f"{root}/state", f"{root}/checkpoint").awaitTermination()
+    return streaming_dedup.decisions(spark, f"{root}/state")
+
+
 @query(f"""
 WITH RECURSIVE {UNITS_SQL}, {cosine_edges_sql('units', 'e', '> 0.2')}, {greedy_sql('units', 'e', 'g')}
 SELECT removed_by, count(*) AS removed FROM g WHERE NOT kept GROUP BY 1""")
