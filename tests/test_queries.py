@@ -7,7 +7,7 @@ import oracle
 
 SF = "/root/testdata/sf0.001"
 ORACLES = registered.oracle_sql()
-SLOW_WITHOUT_SQL = {"image_dedup"}  # covered by test_dedup on a small fixture
+SLOW_WITHOUT_SQL = {"image_dedup"}  # covered by test_image_dedup
 
 
 @pytest.fixture(scope="module")
