@@ -278,3 +278,15 @@ def test_no_checkpoint_folder_off_a_local_master(spark, monkeypatch):
 
     with pytest.raises(ValueError):
         session.checkpoint_root(Cluster)
+
+
+def test_stream_load_reads_a_table_of_many_files(spark, tmp_path):
+    from workloads import loading
+
+    rows = [(i, "text" * (i % 5), "en", f"s{i % 2}", 4 * (i % 5)) for i in range(90)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    documents.repartition(7).write.parquet(str(tmp_path / "documents.parquet"))
+    key = lambda row: (row.keyword, row.batch_id, row.images, row.bytes)
+    found = sorted(map(key, loading.stream_load(spark, str(tmp_path)).collect()))
+    assert found == sorted(map(key, loading.batch_roundtrip(spark, str(tmp_path)).collect()))
+    assert sum(images for _, _, images, _ in found) == 90

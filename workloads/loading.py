@@ -203,6 +203,7 @@ def stream_load(spark, sf):
     """The same through Structured Streaming, which runs until the table is used up."""
     root = scratch_path(spark)
     schema = table(spark, sf, "documents").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    # a pattern, as it fits a file as well as a folder of files; a plain path has to be a folder for a stream
+    stream = spark.readStream.schema(schema).parquet(f"{sf}/documents.parque[t]")
     streaming_load.stream_load(_text_images(stream), f"{root}/ledger", f"{root}/data", f"{root}/stream", 40).awaitTermination()
     return _shipped(spark, f"{root}/data", f"{root}/ledger")
