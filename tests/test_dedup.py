@@ -359,3 +359,12 @@ def test_median_bits_match_numpy(spark):
     for r in frame.collect():
         v = np.array(rows[r.i][1])
         assert r.bits == int.from_bytes(np.packbits(v > np.median(v)).tobytes(), "big", signed=True)
+
+
+def test_large_tables_of_ids_are_not_broadcast(spark):
+    n = 120_000  # two images each; their files have a few hundred KB
+    nodes = spark.range(2 * n).select(F.lit("k").alias("keyword"), F.col("id").alias("image_id"))
+    edges = spark.range(n).select(F.lit("k").alias("keyword"), (2 * F.col("id")).alias("a"), (2 * F.col("id") + 1).alias("b"))
+    found = greedy.greedy_dedup(nodes, edges)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.where("kept = (image_id % 2 = 0) and removed_by is not distinct from if(kept, null, image_id - 1)").count() == 2 * n

@@ -10,7 +10,7 @@ from weftloom.functions.vectors import as_double, is_flat, l2_norm
 from weftloom.operators.greedy import Portions, first_wins
 from weftloom.operators.simjoin import KEY, HammingIndex, StructureIndex, VectorIndex
 from weftloom.params import SCRIPT_PRESET, CurationParams
-from weftloom.session import materialize
+from weftloom.session import materialize, small_or_sorted
 
 DECISIONS = [*KEY, "kept", "removed_by", "layer"]
 
@@ -94,7 +94,8 @@ def deduplicate(items: DataFrame, layers: list[Layer]) -> tuple[DataFrame, DataF
     survivors, decisions = items, None
     for layer in layers:
         verdicts = materialize(run_layer(survivors, layer))
-        survivors = survivors.join(verdicts.where("kept").select(*KEY), KEY, "left_semi")
+        kept = small_or_sorted(verdicts.where("kept").select(*KEY), 400_000)  # the features of all layers to come are on the other side
+        survivors = survivors.join(kept, KEY, "left_semi")
         decisions = verdicts if decisions is None else decisions.unionByName(verdicts)
     return survivors.select(*KEY), decisions
 

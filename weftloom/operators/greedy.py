@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weftloom.operators.simjoin import KEY, home_rows, probe_rows
-from weftloom.session import materialize
+from weftloom.session import materialize, small_or_sorted
 
 KEPT, UNKNOWN, REMOVED = 0, 1, 2
 
@@ -78,6 +78,7 @@ def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int
     if waiting is None:
         live = live.withColumn("a_waits", F.lit(False)).withColumn("b_waits", F.lit(False))
     else:
+        waiting = small_or_sorted(waiting)
         for side in ("a", "b"):
             mark = waiting.select("keyword", F.col("image_id").alias(side), F.lit(True).alias(f"{side}_waits"))
             live = live.join(mark, ["keyword", side], "left").fillna(False, [f"{side}_waits"])
@@ -87,11 +88,12 @@ def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int
         heads = live.select("keyword", F.col("a").alias("image_id"), F.col("a_waits").alias("waits"))
         tails = live.select("keyword", F.col("b").alias("image_id"))
         kept = materialize(
-            heads.where("not waits").select(*KEY).distinct().join(tails, KEY, "left_anti")
+            heads.where("not waits").select(*KEY).distinct().join(tails.hint("merge"), KEY, "left_anti")
         )
         as_side = lambda df, side: df.select("keyword", F.col("image_id").alias(side))
+        kept_side = small_or_sorted(kept)
         removed = materialize(
-            live.join(as_side(kept, "a"), ["keyword", "a"], "left_semi").select("keyword", F.col("b").alias("image_id")).distinct()
+            live.join(as_side(kept_side, "a"), ["keyword", "a"], "left_semi").select("keyword", F.col("b").alias("image_id")).distinct()
         )
         if removed.isEmpty():  # all that is left hangs on waiting images
             both = live.select("keyword", F.explode(F.array("a", "b")).alias("image_id")).distinct()
@@ -99,8 +101,9 @@ def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int
             live = live.limit(0)
             break
         states += [kept.withColumn("state", F.lit("kept")), removed.withColumn("state", F.lit("removed"))]
-        rest = live.join(as_side(removed, "a"), ["keyword", "a"], "left_anti").join(
-            as_side(removed, "b"), ["keyword", "b"], "left_anti"
+        removed_side = small_or_sorted(removed)
+        rest = live.join(as_side(removed_side, "a"), ["keyword", "a"], "left_anti").join(
+            as_side(removed_side, "b"), ["keyword", "b"], "left_anti"
         )
         # images that lost their last edge without being removed
         touched = live.select("keyword", F.explode(F.array(
@@ -109,7 +112,7 @@ def settle(edges: DataFrame, waiting: DataFrame | None = None, finish_edges: int
         )).alias("n")).select("keyword", "n.*").distinct()
         rest = materialize(rest)
         still = rest.select("keyword", F.explode(F.array("a", "b")).alias("image_id")).distinct()
-        freed = touched.join(still, KEY, "left_anti").join(removed, KEY, "left_anti").join(kept, KEY, "left_anti")
+        freed = touched.join(still.hint("merge"), KEY, "left_anti").join(removed_side, KEY, "left_anti").join(kept_side, KEY, "left_anti")
         states.append(materialize(freed.select(*KEY, F.when(F.col("waits"), "unknown").otherwise("kept").alias("state"))))
         live = rest
     result = live.groupBy("keyword").applyInArrow(_in_order, STATE_SCHEMA)
@@ -134,6 +137,7 @@ def _crowd_limits(assigned: DataFrame, index, cell_rows: int, per_image: float)
     cell_pairs = per_image * assigned.count() / cells
     large = materialize(large.select("keyword", "cell", (F.lit(cell_rows) / F.col("count")).alias("share")))
     drawn = F.pmod(F.xxhash64("image_id"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
+    large = small_or_sorted(large)
     draw = lambda rows: rows.join(large, ["keyword", "cell"]).where(drawn).drop("share")
     halves = F.percentile_approx("b", [0.5**i for i in range(1, 31)], 100_000)
     pairs = index.match(draw(homes), draw(probes)).groupBy("keyword", "cell").agg(F.count("*").alias("n"), halves.alias("ids"))
@@ -144,7 +148,7 @@ def _crowd_limits(assigned: DataFrame, index, cell_rows: int, per_image: float)
         .where(expected > 2 * cell_pairs)
         .select("keyword", "cell", F.element_at("ids", halvings).alias("limit"))
     )
-    return None if limits.isEmpty() else limits
+    return None if limits.isEmpty() else small_or_sorted(limits)
 
 
 def _within(rows: DataFrame, limits: DataFrame, inside: bool) -> DataFrame:
@@ -160,11 +164,11 @@ def _later_copies(items: DataFrame, feature: str) -> DataFrame:
     a digest occurs more than once.
     """
     marked = items.select(*KEY, feature, F.xxhash64(feature).alias("digest"))
-    shared = marked.groupBy("keyword", "digest").agg(F.count("*").alias("n")).where("n > 1").select("keyword", "digest")
-    suspects = marked.join(shared, ["keyword", "digest"], "left_semi")
+    shared = materialize(marked.groupBy("keyword", "digest").agg(F.count("*").alias("n")).where("n > 1").select("keyword", "digest"))
+    suspects = marked.join(small_or_sorted(shared), ["keyword", "digest"], "left_semi")
     firsts = suspects.groupBy("keyword", "digest", feature).agg(F.min("image_id").alias("first_id"))
     return materialize(
-        suspects.join(firsts, ["keyword", "digest", feature]).where("image_id <> first_id").select(*KEY, "first_id")
+        suspects.join(firsts.hint("merge"), ["keyword", "digest", feature]).where("image_id <> first_id").select(*KEY, "first_id")
     )
 
 
@@ -188,7 +192,7 @@ def first_wins(
     items = items.select(*KEY, index.feature)
     feature = index.feature
     copies = _later_copies(items, feature)
-    representatives = items.join(copies.select(*KEY), KEY, "left_anti")
+    representatives = items.join(small_or_sorted(copies.select(*KEY)), KEY, "left_anti")
     active = assigned = index.assign(materialize(representatives))
     decided = None
     direct_edges = None
@@ -201,7 +205,7 @@ def first_wins(
             if decided is None:
                 direct_edges = edges
             states = materialize(settle(edges, None, finish_edges))
-            fate = active.select(*KEY).join(states, KEY, "left").select(
+            fate = active.select(*KEY).join(small_or_sorted(states), KEY, "left").select(
                 *KEY, (F.coalesce("state", F.lit("kept")) == "kept").alias("kept")
             )
             decided = fate if decided is None else decided.unionByName(fate)
@@ -212,38 +216,40 @@ def first_wins(
         states = settle(edges, waiting, finish_edges)
         fate = materialize(
             active.select(*KEY)
-            .join(states, KEY, "left")
-            .join(waiting.withColumn("waits", F.lit(True)), KEY, "left")
+            .join(states.hint("merge"), KEY, "left")
+            .join(small_or_sorted(waiting).withColumn("waits", F.lit(True)), KEY, "left")
             .select(*KEY, F.coalesce("state", F.when(F.col("waits"), "unknown").otherwise("kept")).alias("state"))
         )
         settled = fate.where("state <> 'unknown'").select(*KEY, (F.col("state") == "kept").alias("kept"))
-        open_rows = active.join(fate.where("state = 'unknown'").select(*KEY), KEY, "left_semi")
+        open_rows = active.join(small_or_sorted(fate.where("state = 'unknown'").select(*KEY)), KEY, "left_semi")
         hot = limits.select("keyword", "cell")
         late = _within(probe_rows(open_rows, feature), limits, False)
-        keepers = homes.join(settled.where("kept").select(*KEY), KEY, "left_semi").join(hot, ["keyword", "cell"], "left_semi")
+        keepers = homes.join(small_or_sorted(settled.where("kept").select(*KEY)), KEY, "left_semi").join(hot, ["keyword", "cell"], "left_semi")
         peeled = materialize(
             index.match(keepers, late, nearest_only=True).select("keyword", F.col("b").alias("image_id")).distinct()
         )
         fate_now = settled.unionByName(peeled.withColumn("kept", F.lit(False)))
         decided = fate_now if decided is None else decided.unionByName(fate_now)
-        active = materialize(open_rows.join(peeled, KEY, "left_anti"))
+        active = materialize(open_rows.join(small_or_sorted(peeled), KEY, "left_anti"))
         per_image *= 4
 
     if direct_edges is not None:
-        candidates = direct_edges.join(decided.where("kept").select("keyword", F.col("image_id").alias("a")), ["keyword", "a"], "left_semi")
+        decided = materialize(decided)
+        kept = small_or_sorted(decided.where("kept").select("keyword", F.col("image_id").alias("a")))
+        candidates = direct_edges.join(kept, ["keyword", "a"], "left_semi")
     else:
         decided = materialize(decided)
-        side = lambda keep: assigned.join(decided.where(F.col("kept") == keep).select(*KEY), KEY, "left_semi")
+        side = lambda keep: assigned.join(small_or_sorted(decided.where(F.col("kept") == keep).select(*KEY)), KEY, "left_semi")
         candidates = index.match(home_rows(side(True), feature), probe_rows(side(False), feature), nearest_only=True)
     removers = candidates.groupBy("keyword", F.col("b").alias("image_id")).agg(F.min("a").alias("removed_by"))
-    fates = decided.join(removers, KEY, "left").select(*KEY, "kept", "removed_by")
+    fates = decided.join(removers.hint("merge"), KEY, "left").select(*KEY, "kept", "removed_by")
     # a copy goes with its first: removed by it if that is kept, otherwise by what removed that
     by_first = fates.select(
         "keyword",
         F.col("image_id").alias("first_id"),
         F.when(F.col("kept"), F.col("image_id")).otherwise(F.col("removed_by")).alias("removed_by"),
     )
-    copied = copies.join(by_first, ["keyword", "first_id"]).select(*KEY, F.lit(False).alias("kept"), "removed_by")
+    copied = copies.join(by_first.hint("merge"), ["keyword", "first_id"]).select(*KEY, F.lit(False).alias("kept"), "removed_by")
     return fates.unionByName(copied)
 
 
@@ -251,13 +257,13 @@ def greedy_dedup(nodes: DataFrame, edges: DataFrame, finish_edges: int = Portion
     """First-wins resolution of given edges over ``nodes(keyword, image_id)``."""
     edges = materialize(edges.select("keyword", "a", "b"))
     states = materialize(settle(edges, None, finish_edges))
-    kept = states.where("state = 'kept'").select("keyword", F.col("image_id").alias("a"))
+    kept = small_or_sorted(states.where("state = 'kept'").select("keyword", F.col("image_id").alias("a")))
     removers = (
         edges.join(kept, ["keyword", "a"], "left_semi")
         .groupBy("keyword", F.col("b").alias("image_id"))
         .agg(F.min("a").alias("removed_by"))
     )
-    return nodes.select(*KEY).join(removers, KEY, "left").select(
+    return nodes.select(*KEY).join(removers.hint("merge"), KEY, "left").select(
         *KEY, F.col("removed_by").isNull().alias("kept"), "removed_by"
     )
 
@@ -278,8 +284,8 @@ def review_pairs(band: DataFrame, decisions: DataFrame) -> DataFrame:
     kept = decisions.where("kept").select("keyword", F.col("image_id").alias("a"))
     removed = decisions.where("removed_by is not null").select("keyword", F.col("image_id").alias("b"), "removed_by")
     return (
-        band.join(kept, ["keyword", "a"], "left_semi")
-        .join(removed, ["keyword", "b"], "left")
+        band.join(kept.hint("merge"), ["keyword", "a"], "left_semi")
+        .join(removed.hint("merge"), ["keyword", "b"], "left")
         .where("removed_by is null or removed_by > a")
         .select("keyword", "a", "b", "score")
     )

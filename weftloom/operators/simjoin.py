@@ -33,10 +33,10 @@ def _one_cell(items: DataFrame, *features: str) -> DataFrame:
 
 
 def _meet(homes: DataFrame, probes: DataFrame, feature: str) -> DataFrame:
-    """Pairs sharing a cell, as an equi-join."""
+    """Pairs sharing a cell, as an equi-join; never broadcast, as rows come in many cells, which the size of their files does not tell."""
     left = homes.select("keyword", "cell", F.col("image_id").alias("a"), F.col(feature).alias("a_feature"))
     right = probes.select("keyword", "cell", F.col("image_id").alias("b"), F.col(feature).alias("b_feature"))
-    return left.join(right, ["keyword", "cell"]).where("a < b")
+    return left.join(right.hint("merge"), ["keyword", "cell"]).where("a < b")
 
 
 def _spread(rows: DataFrame, own_blocks: str, other_blocks: str, own: str, other: str) -> DataFrame:

@@ -87,3 +87,11 @@ def discard(*frames: DataFrame) -> None:
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` narrow rows."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def small_or_sorted(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """``df``, cheap to count, as the other side of a join: broadcast if it has at most ``max_rows`` narrow rows, else sorted and merged.
+
+    Left alone, Spark goes by the size of the files, and the few MB of a table of ids can take a GB in the memory of the driver and of every task.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df.hint("merge")
