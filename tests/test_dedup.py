@@ -368,3 +368,15 @@ def test_large_tables_of_ids_are_not_broadcast(spark):
     found = greedy.greedy_dedup(nodes, edges)
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.where("kept = (image_id % 2 = 0) and removed_by is not distinct from if(kept, null, image_id - 1)").count() == 2 * n
+
+
+def test_more_blocks_are_dealt_to_more_tasks(spark):
+    draw = np.random.default_rng(3)
+    rows = [("k", i, draw.normal(size=8).tolist()) for i in range(100)]
+    items = spark.createDataFrame(rows, "keyword string, image_id long, embedding array<double>")
+    index = VectorIndex(0.5, block_rows=4)  # 25 blocks: 5,000 rows for 625 pairs of blocks
+    assigned = index.assign(items)
+    pairs = index.match(simjoin.home_rows(assigned, "embedding"), simjoin.probe_rows(assigned, "embedding"))
+    assert pairs.rdd.getNumPartitions() == 40  # of some 128 rows, however few the session's partitions
+    unit = simjoin.unit_rows(assigned.orderBy("image_id").toArrow().column("embedding"), False)
+    assert sorted((p.a, p.b) for p in pairs.collect()) == [tuple(map(int, p)) for p in np.argwhere(np.triu(unit @ unit.T > 0.5, 1))]

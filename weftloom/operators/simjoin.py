@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weftloom.functions import images
 from weftloom.functions.vectors import hamming
-from weftloom.session import materialize
+from weftloom.session import materialize, small_or_sorted
 
 KEY = ["keyword", "image_id"]
 PAIR_SCHEMA = "keyword string, cell {cell}, a long, b long, score double"
@@ -46,6 +46,12 @@ def _spread(rows: DataFrame, own_blocks: str, other_blocks: str, own: str, other
     )
 
 
+def _dealt(rows: DataFrame, task: list[str], number: int | None, block_rows: int) -> DataFrame:
+    """``number`` rows dealt to partitions of some 16 pairs of blocks, where the session's partitions would hold more than that."""
+    partitions = math.ceil((number or 0) / (32 * block_rows))
+    return rows.repartition(partitions, *task) if partitions > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
+
+
 def _compare_in_blocks(
     homes: DataFrame, probes: DataFrame, feature: str, block_rows: int, score, nearest_only: bool, large_block_rows: int | None = None,
     in_order: bool = True,
@@ -56,8 +62,10 @@ def _compare_in_blocks(
     blocks of the other side, so cells of many blocks may use ``large_block_rows`` instead.
     """
     rows_of = F.when(F.count("*") > 32 * block_rows, large_block_rows or block_rows).otherwise(block_rows)
-    size = lambda rows, name: rows.groupBy("keyword", "cell").agg(F.ceil(F.count("*") / rows_of).cast("int").alias(name))
-    blocks = size(homes, "home_blocks").join(size(probes, "probe_blocks"), ["keyword", "cell"])
+    size = lambda rows, name: rows.groupBy("keyword", "cell").agg(F.ceil(F.count("*") / rows_of).cast("int").alias(f"{name}_blocks"), F.count("*").alias(name))
+    blocks = materialize(size(homes, "home").join(size(probes, "probe"), ["keyword", "cell"]))  # a row for each cell
+    number = blocks.agg(F.sum(F.col("home") * F.col("probe_blocks") + F.col("probe") * F.col("home_blocks"))).first()[0]
+    blocks = small_or_sorted(blocks.drop("home", "probe"))
     columns = ["keyword", "cell", "image_id", F.col(feature).alias("feature"), "home_blocks", "probe_blocks"]
     left = homes.join(blocks, ["keyword", "cell"]).select(*columns)
     right = probes.join(blocks, ["keyword", "cell"]).select(*columns)
@@ -83,7 +91,8 @@ def _compare_in_blocks(
             a, b, s = a[first], b[first], s[first]
         return _pair_table(table, a, b, s)
 
-    return rows.groupBy("keyword", "cell", "home_block", "probe_block").applyInArrow(compare, _pair_schema(homes))
+    task = ["keyword", "cell", "home_block", "probe_block"]
+    return _dealt(rows, task, number, block_rows).groupBy(*task).applyInArrow(compare, _pair_schema(homes))
 
 
 def _pair_schema(rows: DataFrame) -> str:
@@ -103,9 +112,10 @@ def _compare_inside(rows: DataFrame, feature: str, block_rows: int, score, large
     A row of block i goes to the tasks {i, 0}, {i, 1} ... of its cell, half as many places as if homes and probes were kept apart.
     """
     rows_of = F.when(F.count("*") > 32 * block_rows, large_block_rows or block_rows).otherwise(block_rows)
-    blocks = rows.groupBy("keyword", "cell").agg(F.ceil(F.count("*") / rows_of).cast("int").alias("blocks"))
+    blocks = materialize(rows.groupBy("keyword", "cell").agg(F.ceil(F.count("*") / rows_of).cast("int").alias("blocks"), F.count("*").alias("n")))
+    number = blocks.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0]
     dealt = (
-        rows.join(blocks, ["keyword", "cell"])
+        rows.join(small_or_sorted(blocks.drop("n")), ["keyword", "cell"])
         .select("keyword", "cell", "image_id", F.col(feature).alias("feature"), "blocks", F.pmod(F.xxhash64("image_id"), F.col("blocks")).cast("int").alias("own"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("keyword", "cell", "image_id", "feature", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
@@ -119,7 +129,8 @@ def _compare_inside(rows: DataFrame, feature: str, block_rows: int, score, large
         i, j, s = score(table.column("feature"), home, probe, wanted)
         return _pair_table(table, ids[home][i], ids[probe][j], s)
 
-    return dealt.groupBy("keyword", "cell", "low", "high").applyInArrow(compare, _pair_schema(rows))
+    task = ["keyword", "cell", "low", "high"]
+    return _dealt(dealt, task, number, block_rows).groupBy(*task).applyInArrow(compare, _pair_schema(rows))
 
 
 @dataclass(frozen=True)
