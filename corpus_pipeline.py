@@ -60,7 +60,8 @@ def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, with digests of the ids and of the bytes that they decode to."""
     bounded_batches(spark)
     ranks, pattern = byte_bpe_ranks()
-    decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
+    encoded = materialize(bpe.encode(docs, ranks, pattern))  # else each task has two Python workers, which stay for a while
+    decoded = bpe.decode(encoded, ranks)
     return bpe.digests(decoded, keep=("doc_id", "ids"))
 
 

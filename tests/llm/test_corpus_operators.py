@@ -262,3 +262,10 @@ def test_stages_on_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, SF)
         assert out.count() == 0 and (name == "byte_bpe" or out.columns == docs.columns)
+
+
+def test_byte_bpe_stage_has_one_python_worker_for_each_task(spark):
+    docs = spark.createDataFrame([(1, "a few words"), (2, None)], "doc_id long, text string")
+    found = corpus_pipeline.byte_bpe(spark, docs, "")
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert found.count() == 2

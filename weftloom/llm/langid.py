@@ -114,8 +114,9 @@ def subwords(texts: list[str | None], size: int = _PIECE) -> Iterator[tuple[np.n
         yield np.concatenate(rows), np.concatenate(buckets)
 
 
-def _sum_rows(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    return np.stack([np.bincount(rows, values[:, k], n) for k in range(values.shape[1])], axis=1)
+def _sum_rows(rows: np.ndarray, buckets: np.ndarray, table: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the table's rows at ``buckets`` by row; one column is gathered at a time, so that memory doesn't grow with their number."""
+    return np.stack([np.bincount(rows, table[buckets, k], n) for k in range(table.shape[1])], axis=1)
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,7 +256,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: tup
                     # the rows of a piece are neighbours; only they are summed
                     low, n = int(rows.min(initial=len(part))), int(rows.max(initial=-1)) + 1
                     if n > low:
-                        total[low:n] += _sum_rows(rows - low, columns_of[buckets], n - low)
+                        total[low:n] += _sum_rows(rows - low, buckets, columns_of, n - low)
                         count[low:n] += np.bincount(rows - low, minlength=n - low)
                 known = count > 0
                 language, score = np.full(len(part), UNKNOWN, object), np.zeros(len(part))
