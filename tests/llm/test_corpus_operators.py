@@ -72,6 +72,28 @@ def test_jaccard_join_of_repeated_rows(spark):
     assert {tuple(r) for r in found.groupBy("doc_id", "component_id").count().collect()} == {(0, 0, 3_000), (1, 0, 3_000), (2, 0, 6_000)}
 
 
+def test_jaccard_join_names_a_pair_seldom_more_than_once(spark, monkeypatch):
+    def words_of(seed, number):
+        return [f"w{x}" for x in np.random.default_rng(seed).integers(0, 10**9, number)]
+
+    shared = words_of(0, 1000)
+    texts = [" ".join(shared + words_of(i, 500)) for i in range(1, 13)] + [" ".join(shared + words_of(i, 100)) for i in range(20, 24)]
+    rows = [(i, text) for i, text in enumerate(texts)] + [(7, " ".join(words_of(99, 1490))), (2, texts[3] + " end")]  # ids of several texts, of several sizes
+    cross, made = jaccard_join._cross_pairs, []
+
+    def counted(*args):
+        pairs = cross(*args)
+        alone = pairs.where("a not in (2, 7) and b not in (2, 7)")
+        made.append((alone.count(), alone.distinct().count()))
+        return pairs
+
+    monkeypatch.setattr(jaccard_join, "_cross_pairs", counted)
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "component_id").distinct().collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(i, {3: 2}.get(i, min(i, 12))) for i in range(16)]
+    (all_rows, pairs), = made
+    assert 30 <= pairs <= all_rows <= 10 * pairs  # they share some 250 shingles of the first block
+
+
 def test_jaccard_join_edges(spark):
     text = "a b c d e f g"
     docs = documents(spark, [text, text, text, "other words are in this one", "other words are in this one"], [5, 5, None, 5, 9])

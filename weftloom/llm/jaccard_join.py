@@ -17,17 +17,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weftloom.llm import words
 from weftloom.llm.graph import components
-from weftloom.session import broadcast_if_small, discard, materialize
+from weftloom.session import broadcast_if_small, discard, materialize, tidy_driver
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 ORDER_HINTS = 100_000  # most frequent shingles that are ordered by count; the others come first, by hash
 STAR_ROUNDS = 2
 BITMAP_WORDS = 8  # 64 bits each
+EARLIER = 4  # shingles before a posting's own, by which most repeats of a pair are told
 BROADCAST_IDS = 200_000  # ids of 8 bytes; more are joined by a shuffle
 COLUMN_BLOCKS = 8
 _BATCH_SHINGLES = 2_000_000
@@ -272,8 +273,11 @@ def jaccard_components(
         .where("n > 0").withColumnRenamed("doc_id", "node")
     )
     entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    met = entries.groupBy("shingle").count().where("count > 1")
-    postings = materialize(entries.join(met.select("shingle"), "shingle"))
+    met = materialize(entries.groupBy("shingle").count().where("count > 1").select("shingle"))
+    tidy_driver(spark, 0)  # each shuffle of all entries goes before the next one comes
+    postings = materialize(entries.join(met.hint("merge"), "shingle"))
+    discard(met)
+    tidy_driver(spark, 0)
 
     links = materialize(member.join(several, "doc_id").select("a", F.col("node").alias("b")).distinct())
     label = None
@@ -281,7 +285,13 @@ def jaccard_components(
         if turn or not links.isEmpty():
             label = components(links)
         placed = _placed(postings, label)
-        pairs = _star_pairs(placed, turn, percent) if turn < STAR_ROUNDS else _cross_pairs(placed, nodes, percent)
+        if turn < STAR_ROUNDS:
+            pairs = _star_pairs(placed, turn, percent)
+        else:
+            full = _described(placed, nodes, discard_after=[postings, nodes])
+            pairs = materialize(_cross_pairs(full, percent).distinct())
+            discard(full)
+            tidy_driver(spark, 0)
         links = links.unionByName(_verified(docs, pairs, width, percent))
     label = components(links)
 
@@ -326,16 +336,34 @@ def _star_pairs(placed: DataFrame, turn: int, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components that may link.
+def _described(placed: DataFrame, nodes: DataFrame, discard_after: list[DataFrame]) -> DataFrame:
+    """Postings with their shingle's most frequent component, their set's bitmap and the set's postings just before.
 
-    In each shingle, only nodes outside its most frequent component are joined with the rest. Besides sizes and positions,
-    the parity bitmaps bound the overlap: differing bits are shingles that the two sets don't share.
+    Rows with one id and several texts share a node; where such texts are of one size too, their postings can't be told apart and have none before.
     """
     placed = materialize(placed)
     sizes = placed.groupBy("shingle", "component").agg(F.count("*").alias("nodes"))
     main = sizes.groupBy("shingle").agg(F.max(F.struct("nodes", "component"))["component"].alias("main"))
-    full = materialize(placed.join(main, "shingle").join(nodes.select("node", "n", "bits"), ["node", "n"]))
+    one_set = Window.partitionBy("node", "n")  # as the join below, so that they share a shuffle
+    sets = nodes.select("node", "n", "bits", (F.count("*").over(one_set) == 1).alias("alone"))
+    in_order = one_set.orderBy("pos")
+    earlier = F.array(*[F.lag("shingle", i).over(in_order) for i in range(1, EARLIER + 1)])
+    full = materialize(
+        placed.join(main, "shingle").withColumn("earlier", earlier).join(sets, ["node", "n"])
+        .withColumn("earlier", F.when(F.col("alone"), F.col("earlier"))).drop("alone")
+    )
+    discard(placed, *discard_after)
+    tidy_driver(placed.sparkSession, 0)
+    return full
+
+
+def _cross_pairs(full: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that may link.
+
+    In each shingle, only nodes outside its most frequent component are joined with the rest. Besides sizes and positions,
+    the parity bitmaps bound the overlap: differing bits are shingles that the two sets don't share. A pair is left out where it
+    shares one of the postings just before, as it has met there: the first shingle that it shares always names it, few others do.
+    """
     x, y = full.where("component <> main").alias("x"), full.alias("y")
     once = (F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
     apart = (F.col("x.component") != F.col("y.component")) & once & _possible(percent, "x", "y")
@@ -344,6 +372,7 @@ def _cross_pairs(placed: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
     )
     total = F.col("x.n") + F.col("y.n")
     enough = F.lit(100 + percent) * (total - differing) >= F.lit(2 * percent) * total
-    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & apart & enough).select(
+    first = ~F.coalesce(F.arrays_overlap("x.earlier", "y.earlier"), F.lit(False))
+    return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & apart & enough & first).select(
         F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")
     )

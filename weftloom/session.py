@@ -50,7 +50,7 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{checkpoint_root(spark)}/weftloom-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def tidy_driver(spark: SparkSession, share: float = 0.35) -> None:
+def tidy_driver(spark: SparkSession, share: float = 0.2) -> None:
     """Have the driver's JVM collect garbage once that fills ``share`` of its heap.
 
     Plans, broadcasts and shuffles of ended jobs are only let go of by such a collection; long series of jobs else grow the heap to its limit
