@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from weftloom.operators.simjoin import KEY, home_rows, probe_rows
-from weftloom.session import materialize, small_or_sorted
+from weftloom.session import discard, materialize, small_or_sorted
 
 KEPT, UNKNOWN, REMOVED = 0, 1, 2
 
@@ -139,14 +139,15 @@ def _crowd_limits(assigned: DataFrame, index, cell_rows: int, per_image: float)
     drawn = F.pmod(F.xxhash64("image_id"), F.lit(1 << 40)) < F.col("share") * (1 << 40)
     large = small_or_sorted(large)
     draw = lambda rows: rows.join(large, ["keyword", "cell"]).where(drawn).drop("share")
-    halves = F.percentile_approx("b", [0.5**i for i in range(1, 31)], 100_000)
-    pairs = index.match(draw(homes), draw(probes)).groupBy("keyword", "cell").agg(F.count("*").alias("n"), halves.alias("ids"))
+    halves = F.percentile("b", [0.5**i for i in range(1, 31)], F.col("n"))
+    counts = index.tally(draw(homes), draw(probes)).groupBy("keyword", "cell", "b").agg(F.sum("n").alias("n"))  # the pairs themselves can be many thousands a row
+    pairs = counts.groupBy("keyword", "cell").agg(F.sum("n").alias("n"), halves.alias("ids"))
     expected = F.col("n") / (F.col("share") * F.col("share"))
     halvings = F.least(F.ceil(F.log2(expected / cell_pairs)), F.lit(30)).cast("int")
     limits = materialize(
         pairs.join(large, ["keyword", "cell"])
         .where(expected > 2 * cell_pairs)
-        .select("keyword", "cell", F.element_at("ids", halvings).alias("limit"))
+        .select("keyword", "cell", F.element_at("ids", halvings).cast("long").alias("limit"))
     )
     return None if limits.isEmpty() else small_or_sorted(limits)
 
@@ -201,7 +202,7 @@ def first_wins(
     while True:
         limits = _crowd_limits(active, index, portions.cell_rows, per_image)
         if limits is None:
-            edges = materialize(index.match(home_rows(active, feature), probe_rows(active, feature)))
+            edges = materialize(index.pairs(active))
             if decided is None:
                 direct_edges = edges
             states = materialize(settle(edges, None, finish_edges))
@@ -230,7 +231,8 @@ def first_wins(
         )
         fate_now = settled.unionByName(peeled.withColumn("kept", F.lit(False)))
         decided = fate_now if decided is None else decided.unionByName(fate_now)
-        active = materialize(open_rows.join(small_or_sorted(peeled), KEY, "left_anti"))
+        before, active = active, materialize(open_rows.join(small_or_sorted(peeled), KEY, "left_anti"))
+        discard(edges, waiting, *([] if before is assigned else [before]))
         per_image *= 4
 
     if direct_edges is not None:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from weftloom.functions import images
 from weftloom.functions.vectors import hamming
-from weftloom.session import materialize, small_or_sorted
+from weftloom.session import discard, materialize, small_or_sorted
 
 KEY = ["keyword", "image_id"]
 PAIR_SCHEMA = "keyword string, cell {cell}, a long, b long, score double"
@@ -86,7 +86,7 @@ def _compare_in_blocks(
         at_home = table.column("at_home").to_numpy()
         ids = table.column("image_id").to_numpy()
         home, probe = np.flatnonzero(at_home), np.flatnonzero(~at_home)
-        wanted = ids[home][:, None] < ids[probe][None, :] if in_order else np.ones((len(home), len(probe)), bool)
+        wanted = ids[home][:, None] < ids[probe][None, :] if in_order else _others(ids[home], ids[probe])
         i, j, s = score(table.column("feature"), home, probe, wanted)
         a, b = ids[home][i], ids[probe][j]
         if tally:
@@ -106,6 +106,11 @@ def _compare_in_blocks(
     return _dealt(rows, task, number, block_rows, together).groupBy(*task).applyInArrow(compare, _pair_schema(homes))
 
 
+def _others(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Places of two ids that differ; a missing one, not a number here, pairs with nothing."""
+    return (a[:, None] < b[None, :]) | (a[:, None] > b[None, :])
+
+
 def _pair_schema(rows: DataFrame) -> str:
     return PAIR_SCHEMA.format(cell=rows.schema["cell"].dataType.simpleString())
 
@@ -138,7 +143,7 @@ def _compare_inside(
         ids, own = table.column("image_id").to_numpy(), table.column("own").to_numpy()
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
         home, probe = np.flatnonzero(own == low), np.flatnonzero(own == high)
-        wanted = ids[home][:, None] < ids[probe][None, :] if low == high else np.ones((len(home), len(probe)), bool)
+        wanted = ids[home][:, None] < ids[probe][None, :] if low == high else _others(ids[home], ids[probe])
         i, j, s = score(table.column("feature"), home, probe, wanted)
         return _pair_table(table, ids[home][i], ids[probe][j], s)
 
@@ -353,7 +358,9 @@ class VectorIndex:
                 yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:3], "homes", "probes"])
 
         found = placed.mapInArrow(probe, f"{schema}, homes array<int>, probes array<int>")
-        return materialize(found.withColumnRenamed("feature", self.feature))
+        assigned = materialize(found.withColumnRenamed("feature", self.feature))
+        discard(placed)
+        return assigned
 
     def _score(self):
         unit, threshold = self._unit, self.threshold
